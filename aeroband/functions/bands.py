@@ -3,39 +3,35 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from aeroband.functions import sql_text
 from aeroband.schemas import BAND_COLOURS, BAND_LABELS, UNKNOWN_BAND, UNKNOWN_COLOUR
 
 
-def band_index(value: Column, uppers) -> Column:
+def band_index(value: str, uppers) -> Column:
     """1-based number of the first band whose inclusive upper bound is not exceeded, one more than the number
     of bounds beyond them all, null for null."""
-    bands = F.when(value.isNull(), F.lit(None).cast("int"))
-    for band, upper in enumerate(uppers, start=1):
-        bands = bands.when(value <= F.lit(float(upper)), F.lit(band))
-    return bands.otherwise(F.lit(len(uppers) + 1))
+    bands = " ".join(f"when {value} <= {float(upper)}D then {band}" for band, upper in enumerate(uppers, start=1))
+    return F.expr(f"case when {value} is null then null {bands} else {len(uppers) + 1} end")
 
 
-def worst_of(*indices: Column) -> Column:
+def worst_of(*indices: str) -> Column:
     """The highest index, an absent one counting as 0; so 0 if all are absent."""
-    return F.greatest(*[F.coalesce(index, F.lit(0)) for index in indices])
+    return F.expr(f"greatest({', '.join(f'coalesce({index}, 0)' for index in indices)})")
 
 
-def index_label(index: Column, labels=BAND_LABELS, unknown=UNKNOWN_BAND) -> Column:
+def index_label(index: str, labels=BAND_LABELS, unknown=UNKNOWN_BAND) -> Column:
     """The word for an index value."""
-    words = F
-    for value, word in labels.items():
-        words = words.when(index == F.lit(value), F.lit(word))
-    return words.otherwise(F.lit(unknown))
+    words = " ".join(f"when {value} then {sql_text(word)}" for value, word in labels.items())
+    return F.expr(f"case {index} {words} else {sql_text(unknown)} end")
 
 
-def band_colour(mean_index: Column, colours=BAND_COLOURS, unknown=UNKNOWN_COLOUR) -> Column:
+def band_colour(mean_index: str, colours=BAND_COLOURS, unknown=UNKNOWN_COLOUR) -> Column:
     """Map colour of a mean index: truncated, then clamped to the known bands.
 
-    A mean that is null, 0 or not a number counts as band 1.
+    A mean that is null, 0 or not a number counts as band 1. A plain cast of NaN to integer raises under ANSI
+    rules; try_cast gives null.
     """
     lowest, highest = min(colours), max(colours)
-    # A plain cast of NaN to integer raises under ANSI rules; try_cast gives null.
-    whole = F.coalesce(mean_index.try_cast("int"), F.lit(lowest))
-    clamped = F.least(F.lit(highest), F.greatest(F.lit(lowest), whole))
-    lookup = F.create_map(*[F.lit(x) for pair in colours.items() for x in pair])
-    return F.coalesce(F.try_element_at(lookup, clamped), F.lit(unknown))
+    band = f"least({highest}, greatest({lowest}, coalesce(try_cast({mean_index} as int), {lowest})))"
+    pairs = ", ".join(f"{value}, {sql_text(colour)}" for value, colour in colours.items())
+    return F.expr(f"coalesce(try_element_at(map({pairs}), {band}), {sql_text(unknown)})")

@@ -7,7 +7,8 @@ from aeroband.functions.times import hour_number
 from aeroband.operators.joins import fits_broadcast, join_on_bucket
 from aeroband.operators.latest import first_per_key
 from aeroband.operators.nearest import NearestLimits, nearest_match
-from aeroband.schemas import WEATHER_VARIABLES
+from aeroband.plans.staging import labels_collide, staged_readings, staged_weather
+from aeroband.schemas import LABEL_RULES, WEATHER_VARIABLES
 
 
 def hour_joined(readings: DataFrame, weather: DataFrame) -> DataFrame:
@@ -26,11 +27,15 @@ def hour_joined(readings: DataFrame, weather: DataFrame) -> DataFrame:
     return joined.drop("_hour").withColumn("weather_rows", F.coalesce("weather_rows", F.lit(0).cast("long")))
 
 
-def readings_with_weather(readings: DataFrame, weather: DataFrame, limits=NearestLimits()) -> DataFrame:
+def readings_with_weather(
+    readings: DataFrame, weather: DataFrame, limits=NearestLimits(), collapse: bool = True
+) -> DataFrame:
     """One row per station, standard pollutant and time, with the nearest weather available in that hour.
 
     ``readings`` must carry ``raw_label``. Readings that share the key (two raw labels of one pollutant) collapse
-    to the one nearest to its weather, then the newest, then the first by raw label.
+    to the one nearest to its weather, then the newest, then the first by raw label. A caller that knows that no
+    two labels share a standard name passes ``collapse=False`` and spares the shuffle: the staging model has left
+    one row per key already.
     """
     matched = nearest_match(
         readings.withColumn("_hour", hour_number(F.col("measured_at"))),
@@ -49,12 +54,16 @@ def readings_with_weather(readings: DataFrame, weather: DataFrame, limits=Neares
         ties=["weather_station", "measured_at"],
         limits=limits,
     )
-    kept = first_per_key(
-        matched,
-        ["station_id", "pollutant", "measured_at"],
-        [F.asc_nulls_last("distance_sq"), F.desc_nulls_last("ingested_at"), F.asc_nulls_last("raw_label")],
-    )
-    return kept.select(
+    if collapse:
+        key = ["station_id", "pollutant", "measured_at"]
+        # Keys hold a few rows at most here, so a group limit before the exchange would sort in vain;
+        # partitioning first leaves only the one behind it.
+        matched = first_per_key(
+            matched.repartition(*key),
+            key,
+            [F.asc_nulls_last("distance_sq"), F.desc_nulls_last("ingested_at"), F.asc_nulls_last("raw_label")],
+        )
+    return matched.select(
         "station_id",
         "station_label",
         F.col("latitude").alias("station_lat"),
@@ -67,3 +76,13 @@ def readings_with_weather(readings: DataFrame, weather: DataFrame, limits=Neares
         "weather_station",
         *WEATHER_VARIABLES,
     )
+
+
+def enriched(raw_readings: DataFrame, raw_weather: DataFrame, rules=LABEL_RULES, limits=NearestLimits()) -> DataFrame:
+    """The enriched model from raw tables, collapsing readings only if their labels make it necessary."""
+    return readings_with_weather(
+        staged_readings(raw_readings, rules, keep_raw_label=True),
+        staged_weather(raw_weather),
+        limits,
+        collapse=labels_collide(raw_readings, rules),
+    )

@@ -34,16 +34,16 @@ def daily_index(enriched: DataFrame) -> DataFrame:
     A day with none of the indexed pollutants gets index 0, "Unknown"; the quality gate then refuses it.
     """
     indexed = daily_means(enriched).withColumns(
-        {f"belaqi_{s}": band_index(F.col(f"avg_{s}"), BAND_BOUNDS[name]) for name, s in INDEXED.items()}
+        {f"belaqi_{s}": band_index(f"avg_{s}", BAND_BOUNDS[name]) for name, s in INDEXED.items()}
     )
-    overall = indexed.withColumn("belaqi_overall", worst_of(*[F.col(f"belaqi_{s}") for s in SUFFIXES]))
+    overall = indexed.withColumn("belaqi_overall", worst_of(*[f"belaqi_{s}" for s in SUFFIXES]))
     return overall.select(
         *STATION_KEYS,
         "measurement_date",
         *[f"avg_{s}" for s in SUFFIXES],
         *[f"belaqi_{s}" for s in SUFFIXES],
         "belaqi_overall",
-        index_label(F.col("belaqi_overall")).alias("belaqi_label"),
+        index_label("belaqi_overall").alias("belaqi_label"),
         "avg_temperature",
         "avg_humidity",
         "avg_wind_speed",

@@ -30,12 +30,13 @@ def staged_readings(raw: DataFrame, rules=LABEL_RULES, source=READINGS_SOURCE, k
 
     ``keep_raw_label`` adds the column ``raw_label``, which the next model needs for a total order.
     """
-    return latest_readings(valid_readings(raw)).select(
+    latest = latest_readings(valid_readings(raw)).withColumn("_lowered", F.lower("pollutant"))
+    return latest.select(
         "station_id",
         "station_label",
         "latitude",
         "longitude",
-        standardise(F.col("pollutant"), rules).alias("pollutant"),
+        standardise("pollutant", rules, lowered="_lowered").alias("pollutant"),
         F.col("timestamp").alias("measured_at"),
         F.col("value").alias("measurement_value"),
         "unit",
@@ -45,6 +46,13 @@ def staged_readings(raw: DataFrame, rules=LABEL_RULES, source=READINGS_SOURCE, k
     )
 
 
+def labels_collide(raw: DataFrame, rules=LABEL_RULES) -> bool:
+    """Whether two raw labels in the data have one standard name. Reads only the label column."""
+    labels = raw.select("pollutant").distinct()
+    shared = labels.groupBy(standardise("pollutant", rules).alias("name")).count().filter("count > 1")
+    return not shared.isEmpty()
+
+
 def staged_weather(raw: DataFrame) -> DataFrame:
     """The newest ingest of each location's hour, with its date and hour of day."""
     timed = raw.filter(F.col("timestamp").isNotNull())

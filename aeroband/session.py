@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Python call sites in error messages cost several round trips to the JVM per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,7 +8,7 @@ only Black Carbon.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroband.schemas import READINGS, WEATHER, WEATHER_POINTS
+from aeroband.schemas import WEATHER_POINTS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,63 +16,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    user, event, value = F.col("user_id"), F.col("event_id"), F.col("value")
-    labels = {
-        "view": "Particulate Matter < 10 µm",
-        "click": "Particulate Matter < 2.5 µm",
-        "purchase": "Nitrogen dioxide",
-        "signup": "Ozone",
-    }
-    label = F
-    for kind, text in labels.items():
-        label = label.when(F.col("event_type") == kind, F.lit(text))
-    return events.select(
-        user.cast("string").alias("station_id"),
-        F.concat(F.lit("Station "), user.cast("string")).alias("station_label"),
-        (F.lit(49.5) + ((user * 37) % 200) / F.lit(100.0)).alias("latitude"),
-        F.when(user % 75 != 74, F.lit(2.5) + ((user * 53) % 400) / F.lit(100.0)).alias("longitude"),
-        label.otherwise(F.lit("Black Carbon")).alias("pollutant"),
-        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp"),
-        F.when(event % 97 == 0, F.lit(None).cast("double"))
-        .when(event % 89 == 0, -value)
-        .when(event % 101 == 0, value + F.lit(1000.0))
-        .otherwise(value)
-        .alias("value"),
-        F.lit("µg/m³").alias("unit"),
-        F.col("ts").cast("timestamp_ntz").alias("ingested_at"),
-    ).select(*READINGS.names)
+    return table(spark, sf_dir, "events").selectExpr(
+        "cast(user_id as string) as station_id",
+        "concat('Station ', cast(user_id as string)) as station_label",
+        "49.5D + ((user_id * 37) % 200) / 100D as latitude",
+        "case when user_id % 75 <> 74 then 2.5D + ((user_id * 53) % 400) / 100D end as longitude",
+        """case event_type when 'view' then 'Particulate Matter < 10 µm' when 'click' then 'Particulate Matter < 2.5 µm'
+          when 'purchase' then 'Nitrogen dioxide' when 'signup' then 'Ozone' else 'Black Carbon' end as pollutant""",
+        "cast(date_trunc('hour', ts) as timestamp_ntz) as timestamp",
+        """case when event_id % 97 = 0 then null when event_id % 89 = 0 then -value
+          when event_id % 101 = 0 then value + 1000D else value end as value""",
+        "'µg/m³' as unit",
+        "cast(ts as timestamp_ntz) as ingested_at",
+    )
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-    hours = table(spark, sf_dir, "events").select(hour.alias("hr")).distinct()
-    points = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(name).alias("name"), F.lit(lat).alias("lat"), F.lit(lon).alias("lon"))
-            for i, (name, lat, lon) in enumerate(WEATHER_POINTS)
-        ]
+    points = ", ".join(
+        f"named_struct('i', {i}, 'name', '{name}', 'lat', {lat}D, 'lon', {lon}D)"
+        for i, (name, lat, lon) in enumerate(WEATHER_POINTS)
+    )
+    hours = table(spark, sf_dir, "events").selectExpr("cast(date_trunc('hour', ts) as timestamp_ntz) as hr").distinct()
+    network = hours.selectExpr("hr", "day(hr) * 24 + hour(hr) as n", f"inline(array({points}))")
+    return network.filter("(n + i) % 5 <> 0 and n % 50 <> 0").selectExpr(
+        "name as location_name",
+        "lat as latitude",
+        "lon as longitude",
+        "hr as timestamp",
+        "((n * 7 + i * 3) % 250) / 10D as temperature_2m",
+        "cast(40 + (n * 5 + i) % 60 as double) as relative_humidity_2m",
+        "((n * 11 + i * 5) % 150) / 10D as wind_speed_10m",
+        "cast((n * 13 + i * 45) % 360 as double) as wind_direction_10m",
+        "((n + i) % 4) / 4D as precipitation",
+        "1000D + (n + i) % 40 as pressure_msl",
+        "cast((n * 3 + i * 7) % 101 as double) as cloud_cover",
+        "cast(100 + (n * 17 + i * 29) % 1900 as double) as boundary_layer_height",
+        "hr as ingested_at",
     )
-    n, i = F.col("n"), F.col("p.i")
-    network = hours.select(
-        "hr", (F.dayofmonth("hr") * 24 + F.hour("hr")).alias("n"), F.explode(points).alias("p")
-    ).filter(((n + i) % 5 != 0) & (n % 50 != 0))
-    real = lambda c: c.cast("double")
-    return network.select(
-        F.col("p.name").alias("location_name"),
-        F.col("p.lat").alias("latitude"),
-        F.col("p.lon").alias("longitude"),
-        F.col("hr").alias("timestamp"),
-        (((n * 7 + i * 3) % 250) / F.lit(10.0)).alias("temperature_2m"),
-        real(F.lit(40) + (n * 5 + i) % 60).alias("relative_humidity_2m"),
-        (((n * 11 + i * 5) % 150) / F.lit(10.0)).alias("wind_speed_10m"),
-        real((n * 13 + i * 45) % 360).alias("wind_direction_10m"),
-        (((n + i) % 4) / F.lit(4.0)).alias("precipitation"),
-        (F.lit(1000.0) + (n + i) % 40).alias("pressure_msl"),
-        real((n * 3 + i * 7) % 101).alias("cloud_cover"),
-        real(F.lit(100) + (n * 17 + i * 29) % 1900).alias("boundary_layer_height"),
-        F.col("hr").alias("ingested_at"),
-    ).select(*WEATHER.names)
 
 
 def again(df: DataFrame, value: str) -> DataFrame:
