@@ -4,6 +4,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Decimals that a mean or sum of doubles keeps. The last digits depend on the order in which partial sums meet, which
+# differs from run to run; without this, they would decide ties at band bounds and in rounding to one decimal.
+STABLE_DIGITS = 9
+
+
+def stable(total: Column) -> Column:
+    """A sum or mean of doubles without the digits that depend on the order of summation."""
+    return F.round(total, STABLE_DIGITS)
+
+
 def mean_where(condition: Column, value: Column) -> Column:
     """Mean over the rows where the condition holds, null if there are none. Several of these pivot a long table
     in one pass, next to any other measure of the same group."""
@@ -12,11 +22,11 @@ def mean_where(condition: Column, value: Column) -> Column:
 
 def means_by(category: Column, value: Column, names: dict[str, str], prefix: str) -> list[Column]:
     """One mean column per category, named prefix + suffix."""
-    return [mean_where(category == F.lit(name), value).alias(prefix + suffix) for name, suffix in names.items()]
+    return [stable(mean_where(category == F.lit(name), value)).alias(prefix + suffix) for name, suffix in names.items()]
 
 
 def rounded_mean(column: str, alias: str, digits=1) -> Column:
-    return F.round(F.avg(column), digits).alias(alias)
+    return F.round(stable(F.avg(column)), digits).alias(alias)
 
 
 def rounded_max(column: str, alias: str, digits=1) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from aeroband.functions.bands import band_index, index_label, worst_of
 from aeroband.functions.numbers import safe_percent
-from aeroband.operators.aggregates import means_by, rounded_max, rounded_mean, row_count
+from aeroband.operators.aggregates import means_by, rounded_max, rounded_mean, row_count, stable
 from aeroband.schemas import BAND_BOUNDS, INDEXED, STATION_KEYS
 
 SUFFIXES = list(INDEXED.values())
@@ -19,11 +19,11 @@ def daily_means(enriched: DataFrame) -> DataFrame:
     """
     return enriched.groupBy(*STATION_KEYS, F.col("measured_at").cast("date").alias("measurement_date")).agg(
         *means_by(F.col("pollutant"), F.col("measurement_value"), INDEXED, "avg_"),
-        F.avg("temperature_2m").alias("avg_temperature"),
-        F.avg("relative_humidity_2m").alias("avg_humidity"),
-        F.avg("wind_speed_10m").alias("avg_wind_speed"),
-        F.avg("boundary_layer_height").alias("avg_boundary_layer"),
-        F.sum("precipitation").alias("total_precipitation"),
+        stable(F.avg("temperature_2m")).alias("avg_temperature"),
+        stable(F.avg("relative_humidity_2m")).alias("avg_humidity"),
+        stable(F.avg("wind_speed_10m")).alias("avg_wind_speed"),
+        stable(F.avg("boundary_layer_height")).alias("avg_boundary_layer"),
+        stable(F.sum("precipitation")).alias("total_precipitation"),
         row_count("measurement_count"),
     )
 

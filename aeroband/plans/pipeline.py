@@ -10,8 +10,9 @@ from aeroband.operators.quality import gate, run_suite
 from aeroband.plans.checks import MART_CHECKS, MODEL_CHECKS
 from aeroband.plans.enriched import readings_with_weather
 from aeroband.plans.marts import daily_index, station_summary
-from aeroband.plans.staging import labels_collide, staged_readings, staged_weather
+from aeroband.plans.staging import labels_collide, staged_keys, staged_readings, staged_weather
 from aeroband.schemas import READINGS, WEATHER
+from aeroband.session import written_once
 from aeroband.sources.raw import read_raw
 from aeroband.sources.snapshot import publish_snapshot
 from aeroband.sources.tables import materialise, replace_partitions
@@ -53,16 +54,15 @@ def run_pipeline(spark: SparkSession, layout: Layout, publish: bool = True) -> l
 
 
 def _build(raw_readings, raw_weather, layout):
-    staged = staged_readings(raw_readings)
     weather = materialise(staged_weather(raw_weather), "stg_weather", "view")
-    materialise(staged, "stg_irceline", "view")
+    materialise(staged_readings(raw_readings), "stg_irceline", "view")
     enriched = materialise(
         with_date(_enrich(raw_readings, weather)), layout.enriched_table, partition_by=["measured_date"]
     )
     daily = materialise(daily_index(enriched), layout.daily_table, partition_by=["measurement_date"])
     summary = materialise(station_summary(daily), layout.summary_table)
     return {
-        "staged_readings": staged,
+        "staged_readings": staged_keys(raw_readings),
         "staged_weather": weather,
         "readings_with_weather": enriched,
         "daily_index": daily,
@@ -111,8 +111,11 @@ def refresh_dates(spark: SparkSession, layout: Layout, since: date, publish: boo
     The touched dates are recomputed from all raw rows of those dates, old and new, so the result is that of a full
     rebuild. Rows without a time have no date to recompute; the last full rebuild's are kept.
     """
-    dates = touched_dates(
-        read_raw(spark, layout.readings, READINGS, since), read_raw(spark, layout.weather, WEATHER, since)
+    # Written down: a list of days, which every join below then sees to be small enough to broadcast.
+    dates = written_once(
+        touched_dates(
+            read_raw(spark, layout.readings, READINGS, since), read_raw(spark, layout.weather, WEATHER, since)
+        )
     )
     first, last = dates.agg(F.min("touched"), F.max("touched")).first()
     raw_readings = read_raw(spark, layout.readings, READINGS)
@@ -125,7 +128,7 @@ def refresh_dates(spark: SparkSession, layout: Layout, since: date, publish: boo
         replace_partitions(daily_index(recomputed), layout.daily_table, ["measurement_date"])
         materialise(station_summary(spark.table(layout.daily_table)), layout.summary_table)
     models = {
-        "staged_readings": staged_readings(raw_readings),
+        "staged_readings": staged_keys(raw_readings),
         "staged_weather": staged_weather(raw_weather),
         "readings_with_weather": spark.table(layout.enriched_table),
         "daily_index": spark.table(layout.daily_table),
