@@ -66,8 +66,8 @@ def nearest_match(
     tie_fields = [field for t in ties for field in (F.col(t).isNull().alias(f"no_{t}"), F.col(t).alias(f"tie_{t}"))]
     packed = right.filter(F.col(bucket).isNotNull()).select(
         bucket,
-        F.col(right_xy[0]).alias("_px"),
-        F.col(right_xy[1]).alias("_py"),
+        finite_or_null(F.col(right_xy[0])).alias("_px"),
+        finite_or_null(F.col(right_xy[1])).alias("_py"),
         F.struct(*tie_fields, *carry).alias("_row"),
     )
     shape = right_shape(right.select(bucket, *{*right_xy, *carry, *ties}), bucket)
@@ -78,40 +78,49 @@ def nearest_match(
     return found.select(
         *left.columns,
         *[F.col("_best")["_row"][c].alias(c) for c in carry],
-        F.col("_best")["distance_sq"].alias("distance_sq"),
+        finite_or_null(F.col("_best")["distance_sq"]).alias("distance_sq"),
     )
 
 
+# The distance of a pair with an unknown coordinate: behind all others.
+_UNKNOWN = float("inf")
+
+
 def _ranked(x: Column, y: Column, px: Column, py: Column, row: Column) -> Column:
-    """A struct whose order is the order of preference: known distances first, near ones first, then the row."""
-    distance = finite_or_null(degree_distance_sq(x, y, px, py))
-    return F.struct(distance.isNull().alias("unknown"), distance.alias("distance_sq"), row.alias("_row"))
+    """A struct whose order is the order of preference: near ones first, unknown distances last, then the row.
+    Coordinates are finite or null."""
+    distance = F.coalesce(degree_distance_sq(x, y, px, py), F.lit(_UNKNOWN))
+    return F.struct(distance.alias("distance_sq"), row.alias("_row"))
 
 
 def _by_lists(left, packed, bucket, left_xy, small):
     lists = packed.groupBy(bucket).agg(F.collect_list(F.struct("_px", "_py", "_row")).alias("_candidates"))
     joined = join_on_bucket(left, lists, [bucket], small=small)
-    x, y = F.col(left_xy[0]), F.col(left_xy[1])
-    ranked = F.transform("_candidates", lambda c: _ranked(x, y, c["_px"], c["_py"], c["_row"]))
-    return joined.withColumn("_best", F.array_min(ranked))
+    placed = joined.withColumns({"_x": finite_or_null(F.col(left_xy[0])), "_y": finite_or_null(F.col(left_xy[1]))})
+    ranked = F.transform(
+        "_candidates", lambda c: _ranked(F.col("_x"), F.col("_y"), c["_px"], c["_py"], c["_row"])
+    )
+    return placed.withColumn("_best", F.array_min(ranked))
 
 
 def _by_grid(left, packed, bucket, left_xy, limits):
-    # Unknown coordinates become NaN, which joins with itself, so that every left row has its position's row.
-    positions = {"_x": _nan_for_null(left_xy[0]), "_y": _nan_for_null(left_xy[1])}
+    # Unknown coordinates become NaN, which joins with itself, so that every left row finds its position's row.
+    nan = F.lit(float("nan"))
+    positions = {f"_{axis}": F.coalesce(finite_or_null(F.col(c)), nan) for axis, c in zip("xy", left_xy)}
     keyed = left.withColumns(positions)
     sites = written_once(keyed.filter(F.col(bucket).isNotNull()).select(bucket, "_x", "_y").distinct())
-    known = packed.filter(_finite("_px") & _finite("_py"))
+    known = packed.filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
     # Of right rows at one position only the first by ties can win: drops copies before any site sees them.
     points = written_once(first_per_key(known, [bucket, "_px", "_py"], [F.asc("_row")]))
 
     site = [bucket, "_x", "_y"]
-    near = _closest_points(sites.filter(_finite("_x") & _finite("_y")), points, bucket, limits.points_per_cell)
+    placed = sites.filter(~F.isnan("_x") & ~F.isnan("_y"))
+    near = _closest_points(placed, points, bucket, limits.points_per_cell)
     # Sites or buckets without any known position: all distances are unknown, so the ties alone decide.
     unplaced = sites.join(near, site, "left_anti")
     first_by_ties = first_per_key(packed.select(bucket, "_row"), [bucket], [F.asc("_row")])
     tied = join_on_bucket(unplaced, first_by_ties, [bucket], how="inner").select(
-        *site, F.struct(F.lit(True).alias("unknown"), F.lit(None).cast("double").alias("distance_sq"), "_row").alias("_best")
+        *site, F.struct(F.lit(_UNKNOWN).alias("distance_sq"), "_row").alias("_best")
     )
     # One row per site on the right; a site with very many left rows is split by AQE's skew join.
     return keyed.join(near.unionByName(tied), site, "left")
@@ -185,13 +194,4 @@ def _reach(value, low_edge, size, slack):
 
 
 def _best_type(points):
-    row = points.schema["_row"].dataType.simpleString()
-    return f"struct<unknown:boolean,distance_sq:double,_row:{row}>"
-
-
-def _nan_for_null(column):
-    return F.coalesce(F.col(column).cast("double"), F.lit(float("nan")))
-
-
-def _finite(column):
-    return finite_or_null(F.col(column)).isNotNull()
+    return f"struct<distance_sq:double,_row:{points.schema['_row'].dataType.simpleString()}>"
