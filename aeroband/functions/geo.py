@@ -8,8 +8,7 @@ from aeroband.schemas import EARTH_RADIUS_KM
 
 def degree_distance_sq(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:
     """Squared straight-line distance on degrees: enough to rank points of a small area, and no root needed."""
-    north, east = lat_a - lat_b, lon_a - lon_b
-    return north * north + east * east
+    return F.pow(lat_a - lat_b, F.lit(2)) + F.pow(lon_a - lon_b, F.lit(2))
 
 
 def great_circle_km(lat_a: Column, lon_a: Column, lat_b: Column, lon_b: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Zone-less timestamps. Functions that pass through a zoned timestamp rely on the session zone being UTC."""
+"""Zone-less timestamps. None of these passes through a zoned timestamp, so the session time zone does not matter."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,13 +10,15 @@ def hour_number(ts: Column) -> Column:
 
 
 def hour_start(ts: Column) -> Column:
-    """The timestamp cut to the hour; ``date_trunc`` returns a zoned timestamp, hence the cast back."""
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """The timestamp cut to the hour. (``date_trunc`` would return a zoned timestamp.)"""
+    zero = F.lit(0)
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.day(ts), F.hour(ts), zero, zero)
 
 
 def from_epoch_ms(ms: Column) -> Column:
-    """Milliseconds since 1970-01-01 UTC as a UTC timestamp, whatever zone the machine is in."""
-    return F.timestamp_millis(ms).cast("timestamp_ntz")
+    """Milliseconds since 1970-01-01 UTC as a UTC timestamp, whatever zone the machine or the session is in."""
+    seconds = (ms.cast("decimal(18,3)") / F.lit(1000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def from_iso_minute(text: Column) -> Column:

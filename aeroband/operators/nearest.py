@@ -77,37 +77,40 @@ def nearest_match(
         found = _by_grid(left, packed, bucket, left_xy, limits)
     return found.select(
         *left.columns,
-        *[F.col("_best")["_row"][c].alias(c) for c in carry],
-        finite_or_null(F.col("_best")["distance_sq"]).alias("distance_sq"),
+        *[F.col(f"_row.{c}").alias(c) for c in carry],
+        finite_or_null(F.col("_distance")).alias("distance_sq"),
     )
 
 
-# The distance of a pair with an unknown coordinate: behind all others.
-_UNKNOWN = float("inf")
-
-
-def _ranked(x: Column, y: Column, px: Column, py: Column, row: Column) -> Column:
-    """A struct whose order is the order of preference: near ones first, unknown distances last, then the row.
-    Coordinates are finite or null."""
-    distance = F.coalesce(degree_distance_sq(x, y, px, py), F.lit(_UNKNOWN))
-    return F.struct(distance.alias("distance_sq"), row.alias("_row"))
+def _distance(x: Column, y: Column, px: Column, py: Column) -> Column:
+    """Distance to rank by: coordinates are finite or null, and an unknown distance is behind all others."""
+    return F.coalesce(degree_distance_sq(x, y, px, py), F.lit(float("inf")))
 
 
 def _by_lists(left, packed, bucket, left_xy, small):
-    lists = packed.groupBy(bucket).agg(F.collect_list(F.struct("_px", "_py", "_row")).alias("_candidates"))
+    # Sorted by preference among equally near rows, so that the first one at the least distance is the winner. One array
+    # of plain numbers per coordinate: distances are then computed and searched without building a struct per candidate.
+    lists = (
+        packed.groupBy(bucket)
+        .agg(F.sort_array(F.collect_list(F.struct("_row", "_px", "_py"))).alias("_list"))
+        .select(bucket, F.col("_list._px").alias("_pxs"), F.col("_list._py").alias("_pys"), F.col("_list._row").alias("_rows"))
+    )
     joined = join_on_bucket(left, lists, [bucket], small=small)
     placed = joined.withColumns({"_x": finite_or_null(F.col(left_xy[0])), "_y": finite_or_null(F.col(left_xy[1]))})
-    ranked = F.transform(
-        "_candidates", lambda c: _ranked(F.col("_x"), F.col("_y"), c["_px"], c["_py"], c["_row"])
-    )
-    return placed.withColumn("_best", F.array_min(ranked))
+    measured = placed.withColumn(
+        "_distances", F.zip_with("_pxs", "_pys", lambda px, py: _distance(F.col("_x"), F.col("_y"), px, py))
+    ).withColumn("_distance", F.array_min("_distances"))
+    first = F.array_position("_distances", F.col("_distance")).cast("int") - F.lit(1)
+    return measured.withColumn("_row", F.get("_rows", first))
 
 
 def _by_grid(left, packed, bucket, left_xy, limits):
     # Unknown coordinates become NaN, which joins with itself, so that every left row finds its position's row.
     nan = F.lit(float("nan"))
     positions = {f"_{axis}": F.coalesce(finite_or_null(F.col(c)), nan) for axis, c in zip("xy", left_xy)}
-    keyed = left.withColumns(positions)
+    # Both sides are read several times below; written down, the plans behind them run once.
+    keyed = written_once(left.withColumns(positions))
+    packed = written_once(packed)
     sites = written_once(keyed.filter(F.col(bucket).isNotNull()).select(bucket, "_x", "_y").distinct())
     known = packed.filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
     # Of right rows at one position only the first by ties can win: drops copies before any site sees them.
@@ -115,12 +118,12 @@ def _by_grid(left, packed, bucket, left_xy, limits):
 
     site = [bucket, "_x", "_y"]
     placed = sites.filter(~F.isnan("_x") & ~F.isnan("_y"))
-    near = _closest_points(placed, points, bucket, limits.points_per_cell)
+    near = written_once(_closest_points(placed, points, bucket, limits.points_per_cell))
     # Sites or buckets without any known position: all distances are unknown, so the ties alone decide.
     unplaced = sites.join(near, site, "left_anti")
     first_by_ties = first_per_key(packed.select(bucket, "_row"), [bucket], [F.asc("_row")])
     tied = join_on_bucket(unplaced, first_by_ties, [bucket], how="inner").select(
-        *site, F.struct(F.lit(_UNKNOWN).alias("distance_sq"), "_row").alias("_best")
+        *site, F.lit(None).cast("double").alias("_distance"), "_row"
     )
     # One row per site on the right; a site with very many left rows is split by AQE's skew join.
     return keyed.join(near.unionByName(tied), site, "left")
@@ -139,7 +142,8 @@ def _closest_points(sites, points, bucket, points_per_cell):
     """
     bounds = points.agg(F.min("_px"), F.min("_py"), F.max("_px"), F.max("_py")).first()
     if bounds[0] is None:
-        return sites.limit(0).withColumn("_best", F.lit(None).cast(_best_type(points)))
+        row_type = points.schema["_row"].dataType
+        return sites.limit(0).withColumns({"_distance": F.lit(None).cast("double"), "_row": F.lit(None).cast(row_type)})
     west, south = bounds[0], bounds[1]
     span = max(bounds[2] - west, bounds[3] - south) or 1.0
     # Cell edges are computed with rounding; widening the bounds a little keeps the pruning safe.
@@ -181,8 +185,10 @@ def _closest_points(sites, points, bucket, points_per_cell):
             .drop("_at_least", "_at_most", "_bound")
         )
     candidates = join_on_bucket(reached, leaves, [bucket, "_cx", "_cy"], how="inner")
-    ranked = _ranked(F.col("_x"), F.col("_y"), F.col("_px"), F.col("_py"), F.col("_row"))
-    return candidates.groupBy(bucket, "_x", "_y").agg(F.min(ranked).alias("_best"))
+    distance = _distance(F.col("_x"), F.col("_y"), F.col("_px"), F.col("_py"))
+    # The order of the struct is the order of preference.
+    best = candidates.groupBy(bucket, "_x", "_y").agg(F.min(F.struct(distance.alias("d"), "_row")).alias("_best"))
+    return best.select(bucket, "_x", "_y", F.col("_best.d").alias("_distance"), "_best._row")
 
 
 def _reach(value, low_edge, size, slack):
@@ -192,6 +198,3 @@ def _reach(value, low_edge, size, slack):
     farthest = F.greatest(F.abs(v - low_edge), F.abs(v - high_edge)) + F.lit(slack)
     return nearest, farthest
 
-
-def _best_type(points):
-    return f"struct<distance_sq:double,_row:{points.schema['_row'].dataType.simpleString()}>"

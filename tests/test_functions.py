@@ -81,7 +81,19 @@ def test_great_circle_against_known_distance_and_unknown_positions(spark):
     assert km[3] == pytest.approx(6371 * math.pi)
 
 
-def test_times(spark):
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Brussels", "America/St_Johns"])
+def test_times_do_not_depend_on_the_session_zone(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        check_times(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def check_times(spark):
+    # 2024-03-31 02:30 does not exist on Brussels clocks.
+    gap = datetime(2024, 3, 31, 2, 30)
+    assert column(spark, [gap], "timestamp_ntz", times.hour_start(F.col("v"))) == [datetime(2024, 3, 31, 2)]
     moments = [datetime(2024, 1, 31, 5, 59, 59, 999999), datetime(1969, 12, 31, 23, 30), None]
     assert column(spark, moments, "timestamp_ntz", times.hour_number(F.col("v"))) == [
         (datetime(2024, 1, 31, 5) - datetime(1970, 1, 1)).days * 24 + 5, -1, None,

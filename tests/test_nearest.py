@@ -109,8 +109,8 @@ def test_plan_follows_the_measured_size(spark, plan_of):
     right = spark.createDataFrame([("a", 1, 0.0, 0.0, 1), ("b", 1, 0.0, 1.0, 1)], RIGHT)
     assert "BroadcastHashJoin" in plan_of(match(left, right, NearestLimits()))
     spread = plan_of(match(left, right, NearestLimits(broadcast_bytes=0)))
-    assert "_salt" in spread
-    assert "_candidates" not in plan_of(match(left, right, NearestLimits(candidates_per_bucket=1)))
+    assert "_salt" in spread and "zip_with" in spread
+    assert "zip_with" not in plan_of(match(left, right, NearestLimits(candidates_per_bucket=1)))
 
 
 def model(spark, rows, observations, **options):
