@@ -17,15 +17,24 @@ TABLES = (
 ).split()
 
 
+# DuckDB's names of Spark's types.
+KINDS = {
+    "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "bigint": "BIGINT", "boolean": "BOOLEAN", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(row):
     return tuple(round(v, 9) if isinstance(v, float) else v for v in row)
 
 
 def difference(spark_df, twin) -> str:
-    """Empty if column names, and rows regardless of order, agree. NULL and NaN are told apart."""
+    """Empty if columns, their types, and rows regardless of order agree. NULL and NaN are told apart."""
     names = sorted(spark_df.columns)
-    if names != sorted(twin.columns):
-        return f"columns {names} and {sorted(twin.columns)}"
+    ours = sorted((name, KINDS.get(kind, kind)) for name, kind in spark_df.dtypes)
+    theirs = sorted(zip(twin.columns, map(str, twin.types)))
+    if ours != theirs:
+        return f"columns differ: only here {set(ours) - set(theirs)}; only there {set(theirs) - set(ours)}"
     ours = sorted(map(repr, map(plain, spark_df.select(*names).collect())))
     theirs = sorted(map(repr, map(plain, twin.project(", ".join(f'"{n}"' for n in names)).fetchall())))
     if ours == theirs:
