@@ -1,7 +1,7 @@
 """The whole refresh: raw tables to published marts, in full or for the dates that new data touches."""
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from aeroband.operators.quality import gate, run_suite
 from aeroband.plans.checks import MART_CHECKS, MODEL_CHECKS
 from aeroband.plans.enriched import readings_with_weather
 from aeroband.plans.marts import daily_index, station_summary
-from aeroband.plans.staging import labels_collide, staged_keys, staged_readings, staged_weather
+from aeroband.plans.staging import labels_collide, staged_readings, staged_weather, staged_weather_keys
 from aeroband.schemas import READINGS, WEATHER
 from aeroband.session import written_once
 from aeroband.sources.raw import read_raw
@@ -46,10 +46,10 @@ def run_pipeline(spark: SparkSession, layout: Layout, publish: bool = True) -> l
 
     Returns the published tables. Raises QualityError, with nothing published, if a check fails.
     """
-    models = _build(
-        read_raw(spark, layout.readings, READINGS), read_raw(spark, layout.weather, WEATHER), layout
-    )
-    gate(check_reports(models))
+    raw_readings = read_raw(spark, layout.readings, READINGS)
+    raw_weather = read_raw(spark, layout.weather, WEATHER)
+    _build(raw_readings, raw_weather, layout)
+    gate(check_reports(_stored_models(spark, layout, raw_weather)))
     return publish_snapshot(spark, [layout.intermediate, layout.marts], layout.published) if publish else []
 
 
@@ -60,14 +60,7 @@ def _build(raw_readings, raw_weather, layout):
         with_date(_enrich(raw_readings, weather)), layout.enriched_table, partition_by=["measured_date"]
     )
     daily = materialise(daily_index(enriched), layout.daily_table, partition_by=["measurement_date"])
-    summary = materialise(station_summary(daily), layout.summary_table)
-    return {
-        "staged_readings": staged_keys(raw_readings),
-        "staged_weather": weather,
-        "readings_with_weather": enriched,
-        "daily_index": daily,
-        "station_summary": summary,
-    }
+    materialise(station_summary(daily), layout.summary_table)
 
 
 def _enrich(raw_readings, weather):
@@ -76,6 +69,20 @@ def _enrich(raw_readings, weather):
     )
 
 
+def _stored_models(spark, layout, raw_weather):
+    """The models as the checks read them. The enriched table stands in for the staged readings, which are a view:
+    it has every station, label and value of theirs, so the same checks fail, and reading three of its columns spares
+    staging all raw rows once more."""
+    enriched = spark.table(layout.enriched_table)
+    return {
+        "staged_readings": enriched,
+        "staged_weather": staged_weather_keys(raw_weather),
+        "readings_with_weather": enriched,
+        "daily_index": spark.table(layout.daily_table),
+        "station_summary": spark.table(layout.summary_table),
+    }
+
+
 def with_date(enriched: DataFrame) -> DataFrame:
     """The stored form of the enriched model: its date is the partition column."""
     return enriched.withColumn("measured_date", F.col("measured_at").cast("date"))
@@ -88,20 +95,21 @@ def check_reports(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def touched_dates(new_readings: DataFrame, new_weather: DataFrame) -> DataFrame:
-    """Distinct dates that new raw rows fall on: the only dates whose results can change, as readings meet weather
-    of their own hour and the daily mart groups by date."""
+    """Distinct dates that new raw rows fall on, null for rows without a time: the only dates whose results can
+    change, as readings meet weather of their own hour and the daily mart groups by date."""
     dates = [df.select(F.col("timestamp").cast("date").alias("touched")) for df in (new_readings, new_weather)]
-    return dates[0].union(dates[1]).filter("touched is not null").distinct()
+    return dates[0].union(dates[1]).distinct()
 
 
-def on_dates(raw: DataFrame, dates: DataFrame, first: date, last: date) -> DataFrame:
-    """Raw rows of the given dates. The range is on the stored column, so the scan skips other row groups."""
+def on_dates(raw: DataFrame, dates: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """Raw rows of the given dates, which lie between ``first`` and ``last`` or are null. The range is on the stored
+    column, so the scan skips other row groups."""
     ts = F.col("timestamp")
-    ranged = raw.filter(
-        (ts >= F.lit(str(first)).cast("timestamp_ntz"))
-        & (ts < F.date_add(F.lit(last), 1).cast("timestamp_ntz"))
-    )
-    return ranged.join(dates, ts.cast("date") == F.col("touched"), "left_semi")
+    near = ts.isNull()
+    if first is not None:
+        after = (last + timedelta(days=1)).isoformat()
+        near = near | ((ts >= F.lit(first.isoformat()).cast("timestamp_ntz")) & (ts < F.lit(after).cast("timestamp_ntz")))
+    return raw.filter(near).join(dates, ts.cast("date").eqNullSafe(F.col("touched")), "left_semi")
 
 
 def refresh_dates(spark: SparkSession, layout: Layout, since: date, publish: bool = True) -> list[str]:
@@ -109,7 +117,7 @@ def refresh_dates(spark: SparkSession, layout: Layout, since: date, publish: boo
     dates those rows touch and replacing just their partitions.
 
     The touched dates are recomputed from all raw rows of those dates, old and new, so the result is that of a full
-    rebuild. Rows without a time have no date to recompute; the last full rebuild's are kept.
+    rebuild.
     """
     # Written down: a list of days, which every join below then sees to be small enough to broadcast.
     dates = written_once(
@@ -117,22 +125,16 @@ def refresh_dates(spark: SparkSession, layout: Layout, since: date, publish: boo
             read_raw(spark, layout.readings, READINGS, since), read_raw(spark, layout.weather, WEATHER, since)
         )
     )
-    first, last = dates.agg(F.min("touched"), F.max("touched")).first()
+    first, last, touched = dates.agg(F.min("touched"), F.max("touched"), F.count(F.lit(1))).first()
     raw_readings = read_raw(spark, layout.readings, READINGS)
     raw_weather = read_raw(spark, layout.weather, WEATHER)
-    if first is not None:
+    if touched:
         readings = on_dates(raw_readings, dates, first, last)
         weather = staged_weather(on_dates(raw_weather, dates, first, last))
         replace_partitions(with_date(_enrich(readings, weather)), layout.enriched_table, ["measured_date"])
-        recomputed = spark.table(layout.enriched_table).join(dates, F.col("measured_date") == F.col("touched"), "left_semi")
+        stored = spark.table(layout.enriched_table)
+        recomputed = stored.join(dates, F.col("measured_date").eqNullSafe(F.col("touched")), "left_semi")
         replace_partitions(daily_index(recomputed), layout.daily_table, ["measurement_date"])
         materialise(station_summary(spark.table(layout.daily_table)), layout.summary_table)
-    models = {
-        "staged_readings": staged_keys(raw_readings),
-        "staged_weather": staged_weather(raw_weather),
-        "readings_with_weather": spark.table(layout.enriched_table),
-        "daily_index": spark.table(layout.daily_table),
-        "station_summary": spark.table(layout.summary_table),
-    }
-    gate(check_reports(models))
+    gate(check_reports(_stored_models(spark, layout, raw_weather)))
     return publish_snapshot(spark, [layout.intermediate, layout.marts], layout.published) if publish else []

@@ -58,6 +58,12 @@ def staged_keys(raw: DataFrame, rules=LABEL_RULES) -> DataFrame:
     )
 
 
+def staged_weather_keys(raw: DataFrame) -> DataFrame:
+    """The columns of the staged weather that checks look at, row for row, without ranking whole rows."""
+    keys = raw.filter(F.col("timestamp").isNotNull()).select("location_name", "timestamp").distinct()
+    return keys.withColumnRenamed("timestamp", "measured_at")
+
+
 def labels_collide(raw: DataFrame, rules=LABEL_RULES) -> bool:
     """Whether two raw labels in the data have one standard name. Reads only the label column."""
     labels = raw.select("pollutant").distinct()

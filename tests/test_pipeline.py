@@ -101,6 +101,19 @@ def test_refresh_of_touched_dates_equals_full_rebuild(spark, layout):
     assert all(refreshed[name] != old[name] for name in old)
 
 
+def test_refresh_refuses_new_readings_without_time(spark, layout):
+    land(spark, layout, 0, START + timedelta(days=1))
+    pipeline.run_pipeline(spark, layout)
+    later = START + timedelta(days=9)
+    raw.append_raw(readings(spark, reading(timestamp=None, ingested_at=later)), layout.readings)
+    with pytest.raises(QualityError) as refusal:
+        pipeline.refresh_dates(spark, layout, since=later.date())
+    assert [(t, c, n) for t, _, c, n in refusal.value.failures] == [
+        ("readings_with_weather columns", "measured_at", 1), ("daily_index columns", "measurement_date", 1),
+        ("daily_index", "measurement_date", 1),
+    ]
+
+
 def test_refresh_without_new_rows_publishes_the_same(spark, layout):
     land(spark, layout, 0, START + timedelta(days=1))
     pipeline.run_pipeline(spark, layout)

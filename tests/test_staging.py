@@ -78,6 +78,15 @@ def test_staged_keys_equal_the_staged_columns(spark):
     assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
 
 
+def test_staged_weather_keys_equal_the_staged_columns(spark):
+    df = weather(
+        spark, observation(), observation(ingested_at=LATER), observation(location_name=None), observation(timestamp=None)
+    )
+    columns = ["location_name", "measured_at"]
+    ours, theirs = staging.staged_weather_keys(df), staging.staged_weather(df).select(columns)
+    assert sorted(map(str, ours.select(columns).collect())) == sorted(map(str, theirs.collect()))
+
+
 def test_a_key_with_a_third_of_all_rows_is_reduced_before_the_exchange(spark, plan_of):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
