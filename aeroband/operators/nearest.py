@@ -1,8 +1,7 @@
 """Nearest match within a bucket: for each left row, the closest right row of the same bucket.
 
-The reference semantics are a left join on the bucket, then a rank by distance. Doing just that multiplies every
-left row by the right rows of its bucket. Two plans give the same rows without it, chosen by the measured size of
-the right side:
+In plain terms this is a left join on the bucket, then a rank by distance. Doing just that multiplies every left row
+by the right rows of its bucket. Two plans give the same rows without it, chosen by the measured size of the right side:
 
 * lists: where buckets are small, the right rows of a bucket become one array, joined once to each left row, and
   the closest is picked inside the row. The arrays are broadcast if they are measured to be small.

@@ -277,12 +277,17 @@ def null_non_finite(spark, sf_dir):
 # Landed documents
 
 
+# Milliseconds of a zone-less ts, whatever the session zone.
+EPOCH_MS = """unix_date(cast(ts as date)) * 86400000L + hour(ts) * 3600000 + minute(ts) * 60000
+  + cast(floor(extract(second from ts) * 1000) as bigint)"""
+
+
 def series_docs(spark, sf_dir):
     """Events as JSON documents, one per station, pollutant and block of event ids, so at most 4096 values each.
     Some lack the unit, some the position, and some are cut off."""
     packed = table(spark, sf_dir, "events").groupBy(
         "user_id", "event_type", F.expr("event_id div 4096").alias("block")
-    ).agg(F.expr("collect_list(named_struct('timestamp', unix_millis(cast(ts as timestamp)), 'value', value))").alias("vs"))
+    ).agg(F.expr(f"collect_list(named_struct('timestamp', {EPOCH_MS}, 'value', value))").alias("vs"))
     return packed.selectExpr(
         """to_json(named_struct(
           'id', concat_ws('-', user_id, event_type, block),
