@@ -7,7 +7,8 @@ contract.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroband.llm import decontamination, mixing, quality_rules, simhash_dedup, token_files
+from aeroband.llm import chunk_dedup, decontamination, mixing, quality_rules, secret_scan, simhash_dedup
+from aeroband.llm import suffix_dedup, token_files, url_rules
 from aeroband.session import scratch_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,6 +24,10 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path(TOKENIZER))
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark, sf_dir):
     return mixing.Mix(table(spark, sf_dir, "documents")).taken()
 
@@ -44,6 +49,22 @@ def op5_quality_rules(spark, sf_dir):
     )
 
 
+def op7_secret_scan(spark, sf_dir):
+    found = secret_scan.scanned(table(spark, sf_dir, "documents"))
+    kinds = [kind for kind, *_ in secret_scan.PATTERNS]
+    counts = [F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}") for kind in kinds]
+    base = F.sha2(secret_scan.joined(F.col("spans"), kinds), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"))
+
+
+def op8_chunk_dedup(spark, sf_dir):
+    return chunk_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+def op9_url_rules(spark, sf_dir):
+    return url_rules.judged(table(spark, sf_dir, "pages"))
+
+
 def op10_token_files(spark, sf_dir):
     folder = f"{scratch_folder(spark)}/tokens"
     token_files.write_tokens(table(spark, sf_dir, "documents"), folder, tokenizer_path())
@@ -51,7 +72,8 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in [
-    op2_mix_sources, op3_decontaminate, op4_simhash_golay, op5_quality_rules, op10_token_files,
+    op1_suffix_dedup, op2_mix_sources, op3_decontaminate, op4_simhash_golay, op5_quality_rules, op7_secret_scan,
+    op8_chunk_dedup, op9_url_rules, op10_token_files,
 ]}
 
 ORACLE = {
