@@ -7,7 +7,7 @@ contract.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroband.llm import chunk_dedup, decontamination, mixing, quality_rules, secret_scan, simhash_dedup
+from aeroband.llm import chunk_dedup, decontamination, line_dedup, mixing, quality_rules, secret_scan, simhash_dedup
 from aeroband.llm import suffix_dedup, token_files, url_rules
 from aeroband.session import scratch_folder
 
@@ -49,6 +49,10 @@ def op5_quality_rules(spark, sf_dir):
     )
 
 
+def op6_line_dedup(spark, sf_dir):
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark, sf_dir):
     found = secret_scan.scanned(table(spark, sf_dir, "documents"))
     kinds = [kind for kind, *_ in secret_scan.PATTERNS]
@@ -72,7 +76,8 @@ def op10_token_files(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in [
-    op1_suffix_dedup, op2_mix_sources, op3_decontaminate, op4_simhash_golay, op5_quality_rules, op7_secret_scan,
+    op1_suffix_dedup, op2_mix_sources, op3_decontaminate, op4_simhash_golay, op5_quality_rules, op6_line_dedup,
+    op7_secret_scan,
     op8_chunk_dedup, op9_url_rules, op10_token_files,
 ]}
 
