@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from aeroband.functions.labels import contains_any
 from aeroband.functions.numbers import finite_or_null
+from aeroband.functions.times import utc
 from aeroband.schemas import DEFAULT_POLLUTANTS, SERIES_LABELS
 
 
@@ -27,6 +28,7 @@ def filter_lookback(df: DataFrame, ts: str, end: datetime, hours: int) -> DataFr
 
 def filter_lookback_days(df: DataFrame, ts: str, end: datetime, days: int) -> DataFrame:
     """Rows of whole days, from ``days`` days before the date of ``end`` up to and including that date."""
+    end = utc(end)
     first = datetime(end.year, end.month, end.day) - timedelta(days=days)
     after = datetime(end.year, end.month, end.day) + timedelta(days=1)
     # Compared on the timestamp itself: a cast to date would keep the filter from the Parquet scan.
@@ -53,4 +55,4 @@ def null_non_finite(df: DataFrame) -> DataFrame:
 
 
 def _instant(moment: datetime):
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(utc(moment).isoformat(sep=" ")).cast("timestamp_ntz")

@@ -97,8 +97,12 @@ def check_reports(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def touched_dates(new_readings: DataFrame, new_weather: DataFrame) -> DataFrame:
     """Distinct dates that new raw rows fall on, null for rows without a time: the only dates whose results can
     change, as readings meet weather of their own hour and the daily mart groups by date."""
-    dates = [df.select(F.col("timestamp").cast("date").alias("touched")) for df in (new_readings, new_weather)]
-    return dates[0].union(dates[1]).distinct()
+    return date_of(new_readings).union(date_of(new_weather)).distinct()
+
+
+def date_of(raw: DataFrame) -> DataFrame:
+    """The date of every row, as ``touched``."""
+    return raw.select(F.col("timestamp").cast("date").alias("touched"))
 
 
 def on_dates(raw: DataFrame, dates: DataFrame, first: date | None, last: date | None) -> DataFrame:
@@ -116,8 +120,6 @@ def refresh_dates(spark: SparkSession, layout: Layout, since: date, publish: boo
     """Like ``run_pipeline`` after the raw rows ingested on or after ``since`` were added, recomputing only the
     dates those rows touch and replacing just their partitions.
 
-    The touched dates are recomputed from all raw rows of those dates, old and new, so the result is that of a full
-    rebuild.
     """
     # Written down: a list of days, which every join below then sees to be small enough to broadcast.
     dates = written_once(
@@ -125,6 +127,14 @@ def refresh_dates(spark: SparkSession, layout: Layout, since: date, publish: boo
             read_raw(spark, layout.readings, READINGS, since), read_raw(spark, layout.weather, WEATHER, since)
         )
     )
+    return refresh_touched(spark, layout, dates, publish)
+
+
+def refresh_touched(spark: SparkSession, layout: Layout, dates: DataFrame, publish: bool = True) -> list[str]:
+    """Recompute the given dates (``touched``, few, from a table) and replace just their partitions.
+
+    They are recomputed from all raw rows of those dates, old and new, so the result is that of a full rebuild.
+    """
     first, last, touched = dates.agg(F.min("touched"), F.max("touched"), F.count(F.lit(1))).first()
     raw_readings = read_raw(spark, layout.readings, READINGS)
     raw_weather = read_raw(spark, layout.weather, WEATHER)

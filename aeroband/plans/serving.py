@@ -2,7 +2,6 @@
 
 from datetime import date
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +76,6 @@ def health(read_daily) -> dict:
     answer, not an error. ``read_daily`` returns the daily mart."""
     try:
         latest = date_range(read_daily()).first()["latest_data"]
-    except (PySparkException, OSError) as problem:
+    except Exception as problem:  # whatever the reason
         return {"status": "unhealthy", "error": str(problem)}
     return {"status": "healthy", "latest_data": latest}

@@ -4,20 +4,35 @@ A document that cannot be parsed is set aside with the others kept, as a failing
 a refresh. Fetching is not part of this package: documents are read from where they were landed, one per row.
 """
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeroband.functions.times import from_epoch_ms, from_iso_minute
+from aeroband.functions.times import from_epoch_ms, from_iso, is_epoch_ms, utc
 from aeroband.schemas import DEFAULT_UNIT, READINGS, WEATHER, WEATHER_VARIABLES
 
 _CORRUPT = "_corrupt_record"
 
 
-def parse_docs(df: DataFrame, text: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """The rows of ``df`` with the JSON of column ``text`` parsed into column ``doc``, and the rows rejected."""
+def readable_series(doc: Column) -> Column:
+    """Whether all times of a series document are epoch milliseconds; absent ones do not matter."""
+    return ~F.coalesce(F.exists(doc["values"]["timestamp"], lambda ms: ~is_epoch_ms(ms)), F.lit(False))
+
+
+def readable_weather(doc: Column) -> Column:
+    """Whether all times of a weather document can be read; absent ones do not matter."""
+    bad = F.exists(doc["hourly"]["time"], lambda text: text.isNotNull() & from_iso(text).isNull())
+    return ~F.coalesce(bad, F.lit(False))
+
+
+def parse_docs(
+    df: DataFrame, text: str, schema: T.StructType, readable: Callable[[Column], Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` with the JSON of column ``text`` parsed into column ``doc``, and the rows rejected: those
+    that are not such JSON, and those whose document is not ``readable``, so that one bad time does not stop a batch."""
     parsed = df.withColumn(
         "_parsed",
         F.from_json(
@@ -27,6 +42,8 @@ def parse_docs(df: DataFrame, text: str, schema: T.StructType) -> tuple[DataFram
         ),
     )
     broken = F.col("_parsed").isNull() | F.col("_parsed")[_CORRUPT].isNotNull()
+    if readable is not None:
+        broken = broken | ~readable(F.col("_parsed"))
     doc = F.struct(*[F.col("_parsed")[name].alias(name) for name in schema.names])
     return parsed.filter(~broken).withColumn("doc", doc).drop("_parsed"), parsed.filter(broken).drop("_parsed")
 
@@ -94,7 +111,7 @@ def explode_weather(docs: DataFrame, ingested_at: datetime | Column, doc: str =
         index_name="_time",
     )
     return hourly.withColumns(
-        {"timestamp": from_iso_minute(F.col("_time")), "ingested_at": run_time(ingested_at)}
+        {"timestamp": from_iso(F.col("_time")), "ingested_at": run_time(ingested_at)}
     ).select(*WEATHER.names)
 
 
@@ -102,7 +119,7 @@ def run_time(moment: datetime | Column) -> Column:
     """The one ingest time of a run, as a zone-less timestamp."""
     if isinstance(moment, Column):
         return moment
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(utc(moment).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def _or_empty(text: Column) -> Column:

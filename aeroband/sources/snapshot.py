@@ -5,7 +5,6 @@ and is empty, so a version is complete exactly if its mark exists; no store has
 highest marked version.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from aeroband.sources.files import Folder
@@ -59,9 +58,10 @@ def read_published(spark: SparkSession, dest: str, fallback: str, table: str) ->
     """A table of the current version, and True; if there is none, that of the older copy kept at ``fallback``
     (a published folder too), and False."""
     try:
-        return read_snapshot(spark, dest, table), True
-    except (FileNotFoundError, AnalysisException):
+        current_version(spark, dest)
+    except FileNotFoundError:
         return read_snapshot(spark, fallback, table), False
+    return read_snapshot(spark, dest, table), True
 
 
 def _versions(folder):

@@ -303,12 +303,12 @@ def series_docs(spark, sf_dir):
 
 
 def series_json_explode(spark, sf_dir):
-    good, _ = landed.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC)
+    good, _ = landed.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC, landed.readable_series)
     return landed.explode_series(good, RUN_TIME)
 
 
 def series_json_rejected(spark, sf_dir):
-    good, rejected = landed.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC)
+    good, rejected = landed.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC, landed.readable_series)
     counted = [
         df.agg(row_count("documents")).select(F.lit(kind).alias("kind"), "documents")
         for kind, df in (("good", good), ("rejected", rejected))
@@ -334,7 +334,7 @@ def weather_docs(spark, sf_dir):
 
 
 def weather_json_explode(spark, sf_dir):
-    good, _ = landed.parse_docs(weather_docs(spark, sf_dir), "body", WEATHER_DOC)
+    good, _ = landed.parse_docs(weather_docs(spark, sf_dir), "body", WEATHER_DOC, landed.readable_weather)
     return landed.explode_weather(good, RUN_TIME)
 
 

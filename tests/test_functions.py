@@ -104,7 +104,7 @@ def check_times(spark):
     assert column(spark, [(datetime(2024, 1, 31, 5) - datetime(1970, 1, 1)).days * 86_400_000 + 5 * 3_600_000 + 123, None], "long", times.from_epoch_ms(F.col("v"))) == [
         datetime(2024, 1, 31, 5, 0, 0, 123000), None,
     ]
-    assert column(spark, ["2024-01-31T05:00"], "string", times.from_iso_minute(F.col("v"))) == [datetime(2024, 1, 31, 5)]
+    assert column(spark, ["2024-01-31T05:00"], "string", times.from_iso(F.col("v"))) == [datetime(2024, 1, 31, 5)]
 
 
 def test_numbers(spark):
@@ -118,3 +118,18 @@ def test_fixed_values():
     assert {"Brussels", "Antwerp", "Ghent", "Liege"} <= {name for name, _, _ in WEATHER_POINTS}
     assert all(49.5 <= lat <= 51.5 and 2.5 <= lon <= 6.5 for _, lat, lon in WEATHER_POINTS)
     assert len(SERIES_LABELS) == 7
+
+
+def test_times_that_cannot_be_read_are_null(spark):
+    texts = ["2024-01-31T05:00:07", "2024-01-31 05:00:07.25", "2024-01-31", "yesterday", "2024-13-01T00:00", "2024", None]
+    assert column(spark, texts, "string", times.from_iso(F.col("v"))) == [
+        datetime(2024, 1, 31, 5, 0, 7), datetime(2024, 1, 31, 5, 0, 7, 250_000), datetime(2024, 1, 31), None, None, None, None,
+    ]
+    assert column(spark, [1_706_677_200_000_000_000, 0], "long", times.from_epoch_ms(F.col("v"))) == [None, datetime(1970, 1, 1)]
+
+
+def test_zoned_moments_are_taken_in_utc():
+    from datetime import timedelta, timezone
+
+    zoned = datetime(2024, 1, 1, 12, tzinfo=timezone(timedelta(hours=2)))
+    assert times.utc(zoned) == datetime(2024, 1, 1, 10) and times.utc(datetime(2024, 1, 1)) == datetime(2024, 1, 1)

@@ -136,6 +136,26 @@ def test_files_drive_the_refresh(spark, layout, tmp_path):
     assert refreshed == contents(spark, tables_of(layout))
 
 
+def test_new_weather_alone_refreshes_its_dates(spark, layout, tmp_path):
+    land(spark, layout, 0, START + timedelta(days=1))
+    land(spark, layout, 1, START + timedelta(days=2))
+    checkpoint = str(tmp_path / "progress")
+    pipeline.run_pipeline(spark, layout)
+    assert refresh_new_batches(spark, layout, checkpoint) == 1
+    # A correction of the first day's weather, ingested before the readings that come next.
+    at = START + timedelta(hours=3)
+    corrected = weather(spark, observation(timestamp=at, temperature_2m=25.5, ingested_at=START + timedelta(days=3)))
+    raw.append_raw(corrected, layout.weather)
+    before = contents(spark, tables_of(layout))
+    assert refresh_new_batches(spark, layout, checkpoint) == 1
+    raw.append_raw(batch(spark, 2, START + timedelta(days=5)), layout.readings)
+    assert refresh_new_batches(spark, layout, checkpoint) == 1
+    refreshed = contents(spark, tables_of(layout))
+    assert refreshed != before
+    pipeline.run_pipeline(spark, layout)
+    assert refreshed == contents(spark, tables_of(layout))
+
+
 def test_empty_raw_tables_fail_the_row_count(spark, layout):
     raw.append_raw(batch(spark, 0, START).limit(0), layout.readings)
     raw.append_raw(raw.empty(spark, WEATHER), layout.weather)
