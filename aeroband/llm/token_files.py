@@ -1,20 +1,21 @@
 """Token ids in binary files: frequency-ranked ids in a byte-aligned code of variable length.
 
-Ids are replaced by their rank by frequency in the corpus, so that the commonest 256 take one byte, the next 65,280 two.
+Within a block, ids are replaced by their rank by frequency, so that the commonest 256 take one byte, all others two.
 A rank takes one to four bytes; the lengths, two bits each, are control bytes apart from the data bytes, so that a
-decoder looks four lengths up at once and never branches on data.
+decoder looks four lengths up at once and never branches on data. The ids in order of rank precede the block, in the
+same code. Ranking per block makes one pass over the texts enough: the tokenizer is by far the largest cost.
 
-A file set is a folder with two Parquet tables, which any store that Spark writes to can hold and whose commit leaves
-nothing of lost tasks behind: ``ids`` (the id of each rank, at most the vocabulary) and ``blocks``. A block belongs to a
-shard (the documents of one task, which are a range of ids in order), knows how many ids of the shard precede it, and
-holds the ids and lengths of its documents, control bytes and data bytes. Blocks can be read in any order, each by
-itself.
+A file set is a Parquet table, which any store that Spark writes to can hold and whose commit leaves nothing of lost
+tasks behind. Its rows are blocks. A block belongs to a shard (the documents of one task, which are a range of ids in
+order), knows how many ids of the shard precede it, and holds the ids and lengths of its documents, control bytes and
+data bytes. Blocks can be read in any order, each by itself.
 
 Defined results: null and empty texts have only the end id; documents come in ascending order of id, null first, those
 with equal ids in the order of a hash of their text, rows repeated in full in any; an empty table gives an empty file
 set; other columns are ignored.
 """
 
+import os
 import zlib
 from collections.abc import Callable
 
@@ -28,9 +29,17 @@ from pyspark.sql import types as T
 from aeroband.llm.texts import col
 
 END_ID = 2
-BLOCK_IDS = 1 << 16  # a block is closed at the first document that reaches this
-CACHED_WORDS = 300_000
-BLOCKS = "shard int, block int, before long, doc_ids array<long>, lengths array<long>, control binary, data binary"
+BLOCK_IDS = 1 << 20  # a block is closed at the first document that reaches this
+CACHED_WORDS = 600_000
+BLOCKS = (
+    "shard int, block int, before long, doc_ids array<long>, lengths array<long>, n_ranks long, rank_control binary, "
+    "rank_data binary, control binary, data binary"
+)
+BLOCK_SCHEMA = pa.schema([
+    ("shard", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("lengths", pa.list_(pa.int64())), ("n_ranks", pa.int64()), ("rank_control", pa.binary()), ("rank_data", pa.binary()),
+    ("control", pa.binary()), ("data", pa.binary()),
+])
 
 # The code: lengths[c] are the byte lengths of the four ranks that control byte c stands for.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.int64) + 1
@@ -60,77 +69,83 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
 class WordEncoder:
     """Ids of a text by a tokenizer that treats words between spaces and line ends separately, remembering words.
 
-    The tokenizer must drop white space and never join across it. ``CACHED_WORDS`` bounds the memory, not the result.
+    The tokenizer must drop white space and never join across it, put letters in lower case one by one, and keep letters
+    apart from a point or comma after them; then a word is looked up in lower case and without these. ``CACHED_WORDS``
+    bounds the memory, not the result.
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[str, bytes] = {"": b""}
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self._known: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known.clear()
+        self._known[""] = b""
+        self._learn([".", ","])
+
+    def _learn(self, words: list[str]) -> None:
+        """Words of letters are encoded together, as each ends in an id that marks the end of a word; others, or all if
+        that does not hold, one by one."""
+        letters = [word for word in words if word.isalpha()]
+        for at in range(0, len(letters), TOGETHER):
+            some = letters[at:at + TOGETHER]
+            ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                data = ids.tobytes()
+                self._known.update(zip(some, (data[4 * a:4 * b] for a, b in zip([0, *ends[:-1]], ends))))
+        words = [word for word in words if word not in self._known]
+        for word, found in zip(words, self._tokenizer.encode_batch(words, add_special_tokens=False)):
+            self._known[word] = np.array(found.ids, dtype="<u4").tobytes()
+
+    @staticmethod
+    def _parts(word: str) -> tuple[str, str]:
+        """What is looked up for a word: letters in lower case, and the point or comma after them, or the word."""
+        base, end = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
+        # Lower case of these two depends on context or is two characters.
+        return (base.lower(), end) if base.isalpha() and not ODD_LETTERS & set(base) else (word, "")
 
     def __call__(self, text: str) -> np.ndarray:
         words = text.replace("\n", " ").split(" ")
         known = self._known
-        new = list({word for word in words if word not in known})
+        new = {word for word in words if word not in known}
         if new:
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                known[""] = b""
-                new = list({word for word in words if word})
-            for word, found in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[word] = np.array(found.ids, dtype="<u4").tobytes()
+            if len(known) + 2 * len(new) > CACHED_WORDS:
+                self._forget()
+                new = {word for word in words if word not in known}
+            parts = {word: self._parts(word) for word in new}
+            self._learn([base for base in {base for base, _ in parts.values()} if base not in known])
+            for word, (base, end) in parts.items():
+                known[word] = known[base] + known[end]
         return np.frombuffer(b"".join([known[word] for word in words]), dtype="<u4")
 
 
-def ids_by_frequency(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> np.ndarray:
-    """The ids that occur, commonest first. Tasks count; what reaches the driver is at most one row per vocabulary id."""
-
-    def count(batches):
-        encode = WordEncoder(tokenizer)
-        total = np.zeros(end_id + 1, dtype=np.int64)
-        for batch in batches:
-            waiting, size = [np.full(batch.num_rows, end_id, dtype="<u4")], 0
-            for value in batch.column("text"):
-                waiting.append(encode(value.as_py() or ""))
-                size += len(waiting[-1])
-                if size > 1 << 20:
-                    total = _added(total, waiting)
-                    waiting, size = [], 0
-            total = _added(total, waiting)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
-
-    counts = docs.select(col("text").alias("text")).mapInArrow(count, "id long, n long")
-    rows = counts.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()
-    return np.array([row.id for row in rows], dtype="<u4")
-
-
-def _added(total: np.ndarray, waiting: list[np.ndarray]) -> np.ndarray:
-    if not waiting:
-        return total
-    more = np.bincount(np.concatenate(waiting), minlength=len(total))
-    more[:len(total)] += total
-    return more
+WORD_END = "</w>"
+TOGETHER = 500
+ODD_LETTERS = {"\u0130", "\u03a3"}
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, block: int = BLOCK_IDS) -> None:
     """Write the ids of all documents, in ascending order of ``doc_id``, to a new file set."""
-    spark = docs.sparkSession
-    by_rank = ids_by_frequency(docs, tokenizer, end_id)
-    spark.createDataFrame(
-        [(rank, int(i)) for rank, i in enumerate(by_rank)], "rank long, id long"
-    ).coalesce(1).write.parquet(f"{folder}/ids")
-
     def pack(batches):
         shard, encode = TaskContext.get().partitionId(), WordEncoder(tokenizer)
-        ranks = np.zeros(int(by_rank.max(initial=0)) + 1, dtype="<u4")
-        ranks[by_rank] = np.arange(len(by_rank), dtype="<u4")
         number, before, ids, lengths, found = 0, 0, [], [], []
 
         def closed():
-            control, data = encode_ranks(ranks[np.concatenate(found)])
-            row = [shard], [number], [before], [ids], [lengths], [control], [data]
+            values = np.concatenate(found)
+            counts = np.bincount(values)
+            by_rank = np.argsort(-counts, kind="stable")[:np.count_nonzero(counts)]
+            ranks = np.zeros(len(counts), dtype="<u4")
+            ranks[by_rank] = np.arange(len(by_rank), dtype="<u4")
+            codes = [[part] for part in (*encode_ranks(by_rank), *encode_ranks(ranks[values]))]
+            row = [[shard], [number], [before], [ids], [lengths], [len(by_rank)], *codes]
             return pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(row, BLOCK_SCHEMA)], schema=BLOCK_SCHEMA)
 
         end, size = np.array([end_id], dtype="<u4"), 0
@@ -150,13 +165,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     rows = docs.select(col("doc_id").cast("long").alias("doc_id"), col("text").alias("text"))
     order = ["doc_id", F.xxhash64("text")]
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.mapInArrow(pack, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
-
+    ordered.mapInArrow(pack, BLOCKS).write.option("compression", "none").parquet(folder)
 
-BLOCK_SCHEMA = pa.schema([
-    ("shard", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-    ("lengths", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary()),
-])
 
 
 def read_documents(
@@ -167,8 +177,7 @@ def read_documents(
 
     The starts of shards are broadcast: there is one row per task of the write.
     """
-    blocks = spark.read.schema(BLOCKS).parquet(f"{folder}/blocks")
-    by_rank = np.array([r.id for r in spark.read.parquet(f"{folder}/ids").orderBy("rank").collect()], dtype="<u4")
+    blocks = spark.read.schema(BLOCKS).parquet(folder)
     sizes = blocks.groupBy("shard").agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
@@ -183,13 +192,17 @@ def read_documents(
             for i in range(batch.num_rows):
                 lengths = np.array(batch.column("lengths")[i].as_py(), dtype=np.int64)
                 ends = np.cumsum(lengths)
+                by_rank = decode_ranks(
+                    batch.column("rank_control")[i].as_py(), batch.column("rank_data")[i].as_py(),
+                    batch.column("n_ranks")[i].as_py(),
+                )
                 ranks = decode_ranks(batch.column("control")[i].as_py(), batch.column("data")[i].as_py(), int(ends[-1]))
                 ids, starts = by_rank[ranks], ends - lengths
                 made = [of_ids(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 columns = [batch.column("doc_ids")[i].values, pa.array(batch.column("start")[i].as_py() + starts), pa.array(lengths)]
                 yield pa.RecordBatch.from_arrays(columns + [pa.array(v) for v in zip(*made)], names=schema.names)
 
-    return placed.select("doc_ids", "lengths", "control", "data", "start").mapInArrow(unpack, schema)
+    return placed.drop("shard", "block", "before").mapInArrow(unpack, schema)
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
