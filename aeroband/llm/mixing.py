@@ -170,7 +170,8 @@ class Mix:
 
     def pieces(self) -> DataFrame:
         """The mix: ``shard``, ``slot``, and the piece of a document there: ``doc_id``, first word, number of words."""
-        return self.slots.join(blocks_of(self.line, self.block), [*SOURCE, "block"]).select(
+        # Both sides grow with the corpus, yet slots come from few rows, by whose size Spark would broadcast them.
+        return self.slots.hint("merge").join(blocks_of(self.line, self.block), [*SOURCE, "block"]).select(
             "shard", "slot", "doc_id", (F.col("from") - F.col("begin")).alias("first_word"),
             (F.col("to") - F.col("from")).alias("n_words"), *SOURCE, "begin",
         )
