@@ -17,10 +17,11 @@ set; other columns are ignored.
 
 import os
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from aeroband.llm.texts import col
 
 END_ID = 2
 BLOCK_IDS = 1 << 20  # a block is closed at the first document that reaches this
-CACHED_WORDS = 600_000
+CACHED_WORDS = 800_000
 BLOCKS = (
     "shard int, block int, before long, doc_ids array<long>, lengths array<long>, n_ranks long, rank_control binary, "
     "rank_data binary, control binary, data binary"
@@ -70,7 +71,7 @@ class WordEncoder:
     """Ids of a text by a tokenizer that treats words between spaces and line ends separately, remembering words.
 
     The tokenizer must drop white space and never join across it, put letters in lower case one by one, and keep letters
-    apart from a point or comma after them; then a word is looked up in lower case and without these. ``CACHED_WORDS``
+    apart from ``MARKS`` after them; then a word is looked up in lower case, its marks by themselves. ``CACHED_WORDS``
     bounds the memory, not the result.
     """
 
@@ -88,7 +89,9 @@ class WordEncoder:
     def _forget(self) -> None:
         self._known.clear()
         self._known[""] = b""
-        self._learn([".", ","])
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without places in the text
 
     def _learn(self, words: list[str]) -> None:
         """Words of letters are encoded together, as each ends in an id that marks the end of a word; others, or all if
@@ -96,42 +99,71 @@ class WordEncoder:
         letters = [word for word in words if word.isalpha()]
         for at in range(0, len(letters), TOGETHER):
             some = letters[at:at + TOGETHER]
-            ids = np.array(self._tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self._encoded([" ".join(some)])[0].ids, dtype="<u4")
             ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
             if len(ends) == len(some) and ends[-1] == len(ids):
                 data = ids.tobytes()
                 self._known.update(zip(some, (data[4 * a:4 * b] for a, b in zip([0, *ends[:-1]], ends))))
         words = [word for word in words if word not in self._known]
-        for word, found in zip(words, self._tokenizer.encode_batch(words, add_special_tokens=False)):
+        for word, found in zip(words, self._encoded(words)):
             self._known[word] = np.array(found.ids, dtype="<u4").tobytes()
 
     @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        """What is looked up for a word: letters in lower case, and the point or comma after them, or the word."""
-        base, end = (word[:-1], word[-1]) if word[-1] in ".," else (word, "")
-        # Lower case of these two depends on context or is two characters.
-        return (base.lower(), end) if base.isalpha() and not ODD_LETTERS & set(base) else (word, "")
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        known = self._known
-        new = {word for word in words if word not in known}
-        if new:
-            if len(known) + 2 * len(new) > CACHED_WORDS:
-                self._forget()
-                new = {word for word in words if word not in known}
-            parts = {word: self._parts(word) for word in new}
-            self._learn([base for base in {base for base, _ in parts.values()} if base not in known])
-            for word, (base, end) in parts.items():
-                known[word] = known[base] + known[end]
-        return np.frombuffer(b"".join([known[word] for word in words]), dtype="<u4")
+    def _parts(words: list[str]) -> tuple[list[str], list[str]]:
+        """What is looked up for words: letters in lower case, and the marks after them; or the word, and nothing."""
+        bases, marks = [], []
+        for word in words:
+            base = word.rstrip(MARKS)
+            # Lower case of the odd letters depends on context or is two characters.
+            if base.isalpha() and (base.isascii() or ODD_LETTERS.isdisjoint(base)):
+                bases.append(base.lower())
+                marks.append(word[len(base):])
+            else:
+                bases.append(word)
+                marks.append("")
+        return bases, marks
+
+    def __call__(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text (null: none). Words are told apart by Arrow; each different one is looked up once."""
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        words, known = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self._known
+        new = [word for word in words if word not in known]
+        if len(known) + 2 * len(new) > CACHED_WORDS:
+            self._forget()
+            new = [word for word in words if word not in known]
+        bases, marks = self._parts(new)
+        self._learn(list(set(bases).union(marks).difference(known)))
+        known.update(zip(new, [known[base] + known[end] for base, end in zip(bases, marks)]))
+        found = [known[word] for word in words]
+        sizes = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        # The ids of all words in a row: those of a word begin where those of its entry do.
+        places, entries = coded.indices.to_numpy(), np.frombuffer(b"".join(found), dtype="<u4")
+        lengths = sizes[places]
+        ends = np.cumsum(lengths)
+        ids = entries[np.repeat((np.cumsum(sizes) - sizes)[places] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+        last_words = np.cumsum(pc.list_value_length(split).to_numpy()) - 1  # a text has one word at least, if an empty one
+        return np.split(ids, ends[last_words][:-1])
 
 
 WORD_END = "</w>"
-TOGETHER = 500
+TOGETHER = 5000
+MARKS = ".,!?;:#*$%&"
+TEXT_BYTES = 1 << 22  # texts are encoded in groups that end at the first one to reach this
 ODD_LETTERS = {"\u0130", "\u03a3"}
 
 
+def groups(texts: pa.Array) -> Iterator[slice]:
+    """Runs of texts of about ``TEXT_BYTES``."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(upto):
+        before = upto[start - 1] if start else 0
+        end = min(int(np.searchsorted(upto, before + TEXT_BYTES)) + 1, len(upto))
+        yield slice(start, end)
+        start = end
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, block: int = BLOCK_IDS) -> None:
     """Write the ids of all documents, in ascending order of ``doc_id``, to a new file set."""
     def pack(batches):
@@ -150,15 +182,16 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
 
         end, size = np.array([end_id], dtype="<u4"), 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                own = np.append(encode(text.as_py() or ""), end)
-                ids.append(doc_id)
-                lengths.append(len(own))
-                found.append(own)
-                size += len(own)
-                if size >= block:
-                    yield closed()
-                    number, before, size, ids, lengths, found = number + 1, before + size, 0, [], [], []
+            for run in groups(batch.column("text")):
+                for doc_id, encoded in zip(batch.column("doc_id")[run].to_pylist(), encode(batch.column("text")[run])):
+                    own = np.append(encoded, end)
+                    ids.append(doc_id)
+                    lengths.append(len(own))
+                    found.append(own)
+                    size += len(own)
+                    if size >= block:
+                        yield closed()
+                        number, before, size, ids, lengths, found = number + 1, before + size, 0, [], [], []
         if ids:
             yield closed()
 
@@ -168,7 +201,6 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     ordered.mapInArrow(pack, BLOCKS).write.option("compression", "none").parquet(folder)
 
 
-
 def read_documents(
     spark: SparkSession, folder: str, fields: T.StructType, of_ids: Callable[[np.ndarray], tuple]
 ) -> DataFrame:
