@@ -29,7 +29,7 @@ MOST_REPEATS = 3
 SEED = 20240131
 ROUNDS = 12
 PARTS = 4096  # of a source, for offsets: a part is laid out in one task
-CHUNK = 4096  # slots made from one row
+CHUNK = 1024  # slots made from one row
 SOURCE = ["no_source", "name"]
 
 
@@ -109,10 +109,15 @@ def slot_counts(targets: DataFrame, block: int) -> DataFrame:
 
 
 def slots(counts: DataFrame, shard: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
-    """``shard``, ``slot``, source and ``block`` of every slot of the mix."""
+    """``shard``, ``slot``, source and ``block`` of every slot of the mix.
+
+    The chunks are few small rows that each become ``CHUNK`` slots. Spark would gather them in one task by their size
+    before that, so their number of partitions is stated.
+    """
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = counts.filter("slots > 0").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {CHUNK}")))
-    ).repartition(*SOURCE, "chunk")
+    ).repartition(tasks, *SOURCE, "chunk")
     numbered = chunks.withColumn("n", F.explode(F.sequence(
         F.col("chunk") * CHUNK, F.least(F.col("slots"), (F.col("chunk") + 1) * CHUNK) - 1
     )))
