@@ -11,16 +11,18 @@ from aeroband.sources.files import Folder
 from aeroband.sources.tables import base_tables
 
 _MARK = "_PUBLISHED"
-# The version before the current one stays, for readers that resolved it before the switch.
-_KEPT = 2
 
 
-def publish_snapshot(spark: SparkSession, databases: list[str], dest: str) -> list[str]:
+def publish_snapshot(spark: SparkSession, databases: list[str], dest: str, keep: int = 2) -> list[str]:
     """Copy every base table of the databases to a new version below ``dest`` and make it current.
 
+    The latest ``keep`` versions stay, this one included: readers may have resolved the one before it.
+
     Returns the sorted names of the tables. A missing database or the lack of any table is an error, and a failure
     at any point leaves the current version as it was.
     """
+    if keep < 1:
+        raise ValueError("the version to be published has to be kept")
     names = base_tables(spark, databases)
     if not names:
         raise RuntimeError(f"no tables to publish in {', '.join(databases)}")
@@ -36,7 +38,7 @@ def publish_snapshot(spark: SparkSession, databases: list[str], dest: str) -> li
     except BaseException:
         folder.delete(version)
         raise
-    for outdated in [*published, version][:-_KEPT]:
+    for outdated in [*published, version][:-keep]:
         folder.delete(outdated)
     return names
 

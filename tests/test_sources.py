@@ -152,6 +152,10 @@ def test_snapshot_is_replaced_and_left_overs_go(spark, database, tmp_path):
     assert snapshot.read_snapshot(spark, dest, f"{database}.mart").first()["belaqi"] == 7
     # The one before stays for readers still on it.
     assert sorted(os.listdir(dest)) == ["v00000002", "v00000003"]
+    snapshot.publish_snapshot(spark, [database], dest, keep=1)
+    assert sorted(os.listdir(dest)) == ["v00000004"]
+    with pytest.raises(ValueError, match="kept"):
+        snapshot.publish_snapshot(spark, [database], dest, keep=0)
 
 
 def test_source_stays_writable(spark, database, tmp_path):
