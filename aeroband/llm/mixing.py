@@ -33,19 +33,22 @@ CHUNK = 1024  # slots made from one row
 SOURCE = ["no_source", "name"]
 
 
-def permuted(index: Column, size: Column, key: Column, seed: int) -> Column:
-    """The place of ``index`` in a pseudorandom permutation of [0, ``size``), one for each value of ``key``.
+def permuted(df: DataFrame, into: str, index: Column, size: Column, key: Column, seed: int) -> DataFrame:
+    """Adds ``into``, the place of ``index`` in a pseudorandom permutation of [0, ``size``), one for each ``key``.
 
-    In each round an index and its mirror image, at a distance the round's key fixes, swap places or do not. The rounds
-    are a fold, not nested expressions, whose number would double with each.
+    In each round an index and its mirror image, at a distance the round's key fixes, swap places or do not. Each step
+    is a column of its own: nested in one another they would double with each round, and a fold over the rounds is
+    not compiled but interpreted.
     """
-    def round_of(place, r):
-        turn = F.pmod(F.xxhash64(F.lit(seed), r, key), size)
-        mirror = F.pmod(turn + size - place, size)
-        swap = F.xxhash64(F.lit(seed + 1), r, F.greatest(mirror, place), key).bitwiseAND(F.lit(1)) == 1
-        return F.when(swap, mirror).otherwise(place)
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), index, round_of)
+    df, place, mirror = df.withColumn(into, index), F.col(into), F.col("mirror")
+    for r in range(ROUNDS):
+        turn = F.pmod(F.xxhash64(F.lit(seed), F.lit(r), key), size)
+        swap = F.xxhash64(F.lit(seed + 1), F.lit(r), F.greatest(mirror, place), key).bitwiseAND(F.lit(1)) == 1
+        df = df.withColumn("turned", turn)
+        back = F.col("turned") - place
+        df = df.withColumn("mirror", F.when(back < 0, back + size).otherwise(back)).drop("turned")
+        df = df.withColumn(into, F.when(swap, mirror).otherwise(place))
+    return df.drop("mirror")
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -108,11 +111,12 @@ def slot_counts(targets: DataFrame, block: int) -> DataFrame:
     )
 
 
-def slots(counts: DataFrame, shard: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
-    """``shard``, ``slot``, source and ``block`` of every slot of the mix.
+def slots(counts: DataFrame, seed: int = SEED) -> DataFrame:
+    """Source and ``block`` of every slot of the mix, its place ``at`` in the order of sources, and ``all_slots``.
 
     The chunks are few small rows that each become ``CHUNK`` slots. Spark would gather them in one task by their size
-    before that, so their number of partitions is stated.
+    before that, so their number of partitions is stated. The slots are written: filters that a join puts on ``block``
+    would be moved below the rounds of the permutation otherwise, and double in size with each.
     """
     tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = counts.filter("slots > 0").withColumn(
@@ -122,13 +126,19 @@ def slots(counts: DataFrame, shard: int = SHARD_SLOTS, seed: int = SEED) -> Data
         F.col("chunk") * CHUNK, F.least(F.col("slots"), (F.col("chunk") + 1) * CHUNK) - 1
     )))
     turned = numbered.select(
-        *SOURCE, "blocks", "all_slots", (F.col("first_slot") + F.col("n")).alias("at"),
-        (F.col("n") % F.col("blocks")).alias("turn"), F.xxhash64(*SOURCE, F.expr("n div blocks")).alias("pass"),
+        *SOURCE, F.coalesce("blocks", F.lit(1)).alias("blocks"), "all_slots", (F.col("first_slot") + F.col("n")).alias("at"),
+        F.coalesce(F.col("n") % F.col("blocks"), F.lit(0)).alias("turn"),
+        F.xxhash64(*SOURCE, F.expr("n div blocks")).alias("pass"),
     )
-    slot = permuted(F.col("at"), F.col("all_slots"), F.lit(0), seed)
-    block = permuted(F.col("turn"), F.col("blocks"), F.col("pass"), seed + 2)
-    placed = turned.select(*SOURCE, slot.alias("slot"), block.alias("block"))
-    return placed.select(F.expr(f"slot div {shard}").alias("shard"), "slot", *SOURCE, "block")
+    placed = permuted(turned, "block", F.col("turn"), F.col("blocks"), F.col("pass"), seed + 2)
+    return written_once(placed.select(*SOURCE, "block", "at", "all_slots"))
+
+
+def sharded(slots: DataFrame, shard: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """The slots with ``slot``, their place in the mix, and its output ``shard``."""
+    known = slots.withColumns({name: F.coalesce(name, F.lit(1).cast("long")) for name in ("at", "all_slots")})
+    placed = permuted(known, "slot", F.col("at"), F.col("all_slots"), F.lit(0), seed)
+    return placed.withColumn("shard", F.expr(f"slot div {shard}"))
 
 
 def laid_out(sizes: DataFrame) -> DataFrame:
@@ -164,19 +174,19 @@ def blocks_of(line: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
 
 
 class Mix:
-    """The mix of a table of documents; its tables are plans over one narrow copy of the documents."""
+    """The mix of a table of documents; its tables are plans over one narrow copy of the documents and the slots."""
 
     def __init__(self, docs: DataFrame, block: int = BLOCK_WORDS, shard: int = SHARD_SLOTS, seed: int = SEED):
         self.sizes = sized(docs)
         self.targets = source_targets(self.sizes)
         self.line = laid_out(self.sizes)
-        self.block = block
-        self.slots = slots(slot_counts(self.targets, block), shard, seed)
+        self.block, self.shard, self.seed = block, shard, seed
+        self.slots = slots(slot_counts(self.targets, block), seed)
 
     def pieces(self) -> DataFrame:
         """The mix: ``shard``, ``slot``, and the piece of a document there: ``doc_id``, first word, number of words."""
-        # Both sides grow with the corpus, yet slots come from few rows, by whose size Spark would broadcast them.
-        return self.slots.hint("merge").join(blocks_of(self.line, self.block), [*SOURCE, "block"]).select(
+        # Both sides grow with the corpus, so neither is broadcast, whatever the size of the files.
+        return sharded(self.slots, self.shard, self.seed).hint("merge").join(blocks_of(self.line, self.block), [*SOURCE, "block"]).select(
             "shard", "slot", "doc_id", (F.col("from") - F.col("begin")).alias("first_word"),
             (F.col("to") - F.col("from")).alias("n_words"), *SOURCE, "begin",
         )

@@ -164,7 +164,7 @@ def test_permutation(spark):
     from pyspark.sql import functions as F
 
     for n in (1, 2, 37, 1000):
-        df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5), 1).alias("p"))
+        df = mixing.permuted(spark.range(n), "p", F.col("id"), F.lit(n).cast("long"), F.lit(5), 1).select("p")
         places = [r.p for r in df.collect()]
         assert sorted(places) == list(range(n)) and (n < 30 or places != sorted(places))
 
