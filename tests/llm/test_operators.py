@@ -371,6 +371,23 @@ def test_mined_rules(spark):
     assert verdicts[600] == "block" and verdicts[601] == "allow"
 
 
+def test_mined_rules_name_sites_that_the_path_does_not_decide(spark):
+    """Labelled .com urls are all blocked, for their /de/; neither .com nor a site seen there only is blocked for that."""
+    urls = [f"http://www.bad{i % 3}.shop.net/x{i % 7}/{i}" for i in range(90)]
+    urls += [f"http://www.site{i % 9}.example.net/{'en' if i % 3 else 'es'}/{i}" for i in range(1500)]
+    urls += [f"http://www.site{i % 9}.example.com/de/{i}" for i in range(60)]
+    urls += [f"http://www.only.example.com/de/{i}" for i in range(60)]
+    asked = {"http://www.new.example.com/en/1": "allow", "http://www.only.example.com/en/1": "allow",
+             "http://www.site1.example.com/es/1": "allow", "http://www.bad1.example.com/en/1": "block",
+             "http://www.bad1.other.org/de/2": "block", "http://www.other.org/es/2": "allow"}
+    urls += asked
+    for extra in (0, 3000):  # the share of .com among the labelled urls decides nothing
+        more = [f"http://www.site{i % 9}.example.net/en/a{i}" for i in range(extra)]
+        pages = spark.createDataFrame(list(enumerate(urls + more)), "page_id long, url string")
+        verdicts = {urls[r.page_id]: r.verdict for r in url_rules.judged(pages).collect() if r.page_id < len(urls)}
+        assert {u: verdicts[u] for u in asked} == asked
+
+
 def test_stages_chain(spark):
     import corpus_pipeline
 
