@@ -19,7 +19,7 @@ without words all targets are zero; other columns are ignored, whatever their na
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeroband.llm.texts import col, packed, row_hash, unpacked, word_count
+from aeroband.llm.texts import WORD, col, packed, row_hash, word_count
 from aeroband.session import written_once
 
 BLOCK_WORDS = 32
@@ -31,6 +31,7 @@ ROUNDS = 12
 PARTS = 4096  # of a source, for offsets: a part is laid out in one task
 CHUNK = 1024  # slots made from one row
 SOURCE = ["no_source", "name"]
+SPACE, SPACES = r"[\x20\x09-\x0D]", " \t\n\x0b\x0c\r"
 
 
 def permuted(df: DataFrame, into: str, index: Column, size: Column, key: Column, seed: int) -> DataFrame:
@@ -181,7 +182,8 @@ class Mix:
         self.targets = source_targets(self.sizes)
         self.line = laid_out(self.sizes)
         self.block, self.shard, self.seed = block, shard, seed
-        self.slots = slots(slot_counts(self.targets, block), seed)
+        self.counts = slot_counts(self.targets, block)
+        self.slots = slots(self.counts, seed)
 
     def pieces(self) -> DataFrame:
         """The mix: ``shard``, ``slot``, and the piece of a document there: ``doc_id``, first word, number of words."""
@@ -201,16 +203,63 @@ class Mix:
         )
 
     def copies(self) -> DataFrame:
-        """Per distinct row (``row``) how often whole documents enter: as often as the block of their first word."""
+        """Per document with words in the mix: ``row``, ``size``, ``whole`` (how often all of it enters), and ``runs``.
+
+        Whole passes over a source take all of each document. The last pass takes the blocks that are used once more
+        than that; ``runs`` are the words (``first``, ``last``) of the document that lie in such blocks, adjacent ones
+        as one run. Together these are the words that ``taken`` counts.
+        """
+        passes = self.counts.select(*SOURCE, F.col("passes").cast("long").alias("whole"))
         uses = self.slots.groupBy(*SOURCE, "block").agg(F.count("*").alias("uses"))
-        first = self.line.withColumn("block", F.expr(f"begin div {self.block}"))
-        return first.join(uses, [*SOURCE, "block"]).groupBy("row").agg(F.sum("uses").alias("uses"))
+        extra = uses.join(passes, SOURCE).filter("uses > whole").select(*SOURCE, "block")
+        pieces = extra.hint("merge").join(blocks_of(self.line, self.block), [*SOURCE, "block"])
+        edges = pieces.groupBy(*SOURCE, "begin").agg(
+            F.collect_list(F.col("from") - F.col("begin")).alias("froms"),
+            F.collect_list(F.col("to") - F.col("begin")).alias("tos"),
+        )
+        first, last = F.array_except("froms", "tos"), F.array_except("tos", "froms")
+        runs = edges.select(
+            *SOURCE, "begin", F.arrays_zip(F.array_sort(first).alias("first"), F.array_sort(last).alias("last")).alias("runs")
+        )
+        return (
+            self.line.join(passes, SOURCE).join(runs, [*SOURCE, "begin"], "left")
+            .filter((F.col("whole") > 0) | F.col("runs").isNotNull()).select("row", "size", "whole", "runs")
+        )
+
+
+def cut_to(text: Column, runs: Column) -> Column:
+    """The text of each run of words, from its first word to its last, as it stands; the words are found once."""
+    words = F.regexp_extract_all(text, F.lit(f"{WORD}{SPACE}*"), 0)
+    found = F.transform(F.array(words), lambda w: F.transform(runs, lambda r: F.rtrim(
+        F.array_join(F.slice(w, (r["first"] + 1).cast("int"), (r["last"] - r["first"]).cast("int")), ""), F.lit(SPACES)
+    )))
+    return found[0]
 
 
 def mixed_documents(docs: DataFrame, block: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """The mix as whole documents, repeated or left out, with the columns they came with."""
+    """The mix as rows with the columns they came with: the words that ``Mix.taken`` counts, of each document.
+
+    A document enters whole as often as the mix passes over all of its source, and with the words of the blocks that
+    the last pass draws: a row for each run of adjacent blocks, its text cut there and ``n_chars`` that of the cut text;
+    a document all of whose blocks are drawn stays as it is.
+    """
     copies = Mix(docs, block, seed=seed).copies()
-    rows = docs.select(row_hash(docs).alias("row"), packed(docs).alias("packed")).join(copies, "row")
-    nth = F.row_number().over(Window.partitionBy("row").orderBy("uses"))  # rows repeated in full share their uses
-    each = rows.withColumn("nth", nth).filter("nth = 1").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("uses"))))
-    return unpacked(each, "packed", docs)
+    texts = docs.select(row_hash(docs).alias("row"), packed(docs).alias("packed")).dropDuplicates(["row"])
+    words = F.element_at("runs", 1)["last"] - F.element_at("runs", 1)["first"]
+    all_drawn = F.coalesce((F.size("runs") == 1) & (words == F.col("size")), F.lit(False))
+    split = copies.select(
+        "row", (F.col("whole") + all_drawn.cast("long")).cast("int").alias("whole"),
+        F.when(~all_drawn, F.col("runs")).alias("runs"),
+    )
+    text = F.col("packed").getField("text")
+    whole = F.array_repeat(F.struct(F.lit(False).alias("is_cut"), text.alias("text")), F.col("whole"))
+    cut = F.transform(cut_to(text, F.col("runs")), lambda t: F.struct(F.lit(True).alias("is_cut"), t.alias("text")))
+    parts = F.when(F.col("runs").isNull(), whole).otherwise(F.concat(whole, cut))
+    each = texts.join(split, "row").select("packed", F.explode(parts).alias("part"))
+    kinds = dict(docs.dtypes)
+    made = {"text": F.col("part.text"), "n_chars": F.char_length("part.text")}
+    kept = {name: F.col("packed").getField(name) for name in docs.columns}
+    return each.select([
+        (F.when(F.col("part.is_cut"), made[name].cast(kinds[name])).otherwise(field) if name in made else field).alias(name)
+        for name, field in kept.items()
+    ])

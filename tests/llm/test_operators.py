@@ -160,6 +160,31 @@ def test_mix(docs, rows, empty):
     assert mixing.Mix(empty).taken().count() == 0 and mixing.mixed_documents(empty).count() == 0
 
 
+def test_mixed_documents_hold_the_words_of_the_mix(spark, docs, rows):
+    rng = random.Random(12)
+    texts = {i: (prose(rng, 20000 if i == 5 else rng.randrange(20, 120), 5000), f"s{i % 4}") for i in range(200)}
+    table = spark.createDataFrame([(i, "\n ".join(t.split()), s, len(t)) for i, (t, s) in texts.items()],
+                                  "doc_id long, text string, source string, n_chars long").repartition(4)
+    taken = mixing.Mix(table).taken().collect()
+    found = mixing.mixed_documents(table).collect()
+    words = Counter()
+    for r in found:
+        words[r.doc_id] += sizes(r.text)
+        assert r.source == texts[r.doc_id][1]
+        assert f" {' '.join(r.text.split())} " in f" {texts[r.doc_id][0]} "
+        assert r.n_chars == len(r.text) or sizes(r.text) == sizes(texts[r.doc_id][0])
+    assert {r.doc_id: r.taken for r in taken if r.taken} == dict(words)
+    target = {texts[r.doc_id][1]: r.target for r in taken}
+    for source, want in target.items():
+        assert abs(sum(n for i, n in words.items() if texts[i][1] == source) - want) <= mixing.BLOCK_WORDS
+    by_id, mixed = Counter(), Counter()
+    for r in mixing.Mix(docs, block=4).taken().collect():
+        by_id[r.doc_id] += r.taken
+    for r in mixing.mixed_documents(docs, block=4).collect():
+        mixed[r.doc_id] += sizes(r.text)
+    assert +by_id == mixed
+
+
 def test_permutation(spark):
     from pyspark.sql import functions as F
 
