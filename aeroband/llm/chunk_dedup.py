@@ -2,7 +2,7 @@
 
 A gear hash rolls over the bytes; a chunk ends where its high bits are zero, so an insertion moves the chunks around it
 and no others. Chunks are compared by a 128-bit digest. The first one in order of document id and place stays, later
-ones go, in runs of at least ``LEAST_RUN`` bytes, so that a chance repetition of one short chunk is left alone.
+ones go, however short.
 
 Only digests and places are exchanged, combined per task first: a chunk that most documents share sends one row per
 task. Texts are exchanged once, to meet their spans.
@@ -23,8 +23,7 @@ from aeroband.llm import spans
 from aeroband.llm.texts import col
 
 ENDS = 5  # zero bits at an end: chunks of some 32 bytes after the least
-LEAST, MOST = 32, 256
-LEAST_RUN = 96
+LEAST, MOST = 16, 256  # with 32, one in 80 passages of 300 bytes holds no whole chunk
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([i]), 7) for i in range(256)], dtype=np.uint32)
 BLOCK = 1 << 20
 
@@ -95,4 +94,4 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         col("doc_id").cast("long").alias("doc_id"), F.xxhash64(col("doc_id"), col("text")).alias("doc"),
         col("text").alias("text"),
     )
-    return spans.cut(rows, repeated_chunks(chunks(rows)), ["doc"], LEAST_RUN, with_text)
+    return spans.cut(rows, repeated_chunks(chunks(rows)), ["doc"], with_text=with_text)

@@ -296,6 +296,24 @@ def test_chunk_dedup(spark, docs, rows, empty):
     assert chunk_dedup.without_repeats(empty).count() == 0
 
 
+def test_short_copies_and_passages_are_cut(spark):
+    rng = random.Random(17)
+    short = ["Les.", "One line of text.", prose(rng, 12, 9000), prose(rng, 16, 9000)]
+    made = [(i, t) for i, t in enumerate(short * 3)]
+    passages = ["".join(rng.choice("abcdefghij ") for _ in range(300)) for _ in range(400)]
+    for k, passage in enumerate(passages * 2):
+        made.append((100 + k, f"{prose(rng, 30, 90000)} {passage} {prose(rng, 30, 90000)}"))
+    lone = "".join(rng.choice("klmnop") for _ in range(2000)).encode()
+    a, b = chunk_dedup.chunk_ends(lone)[4:6]
+    made += [(2000, lone.decode()), (2001, lone[a:b].decode())]
+    table = spark.createDataFrame(made, "doc_id long, text string")
+    found = {r.doc_id: r for r in chunk_dedup.without_repeats(table).collect()}
+    assert all(found[i].n_removed == (0 if i < 4 else found[i].n_bytes) for i in range(12))
+    assert found[2000].n_removed == 0 and found[2001].n_removed == found[2001].n_bytes == b - a
+    left = sum(found[500 + k].n_removed < 16 for k in range(400))
+    assert left <= 4
+
+
 # Lines
 
 
