@@ -235,9 +235,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "doc", "text").mapInArrow(run, "doc_id long, doc long, number int, line long")
 
 
-def repeated_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -> DataFrame:
-    """A row per document: ``doc_id``, ``n_lines`` (long enough), ``n_removed``, ``removed`` (their numbers, from 0),
-    and ``n_links``, the lines within the distance of its lines."""
+def marked_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -> DataFrame:
+    """The rows of ``repeated_lines`` with ``doc``, the number that tells documents apart that share an id."""
     rows = docs.select(
         col("doc_id").cast("long").alias("doc_id"), F.xxhash64(col("doc_id"), col("text")).alias("doc"),
         col("text").alias("text"),
@@ -259,17 +258,26 @@ def repeated_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD)
     )
     n_lines, copies = F.coalesce(F.size("numbers"), F.lit(0)), F.col("n") / F.size("numbers")  # of rows repeated in full
     return rows.select("doc_id", "doc").join(per_doc, "doc", "left").select(
-        "doc_id", n_lines.cast("long").alias("n_lines"),
+        "doc_id", "doc", n_lines.cast("long").alias("n_lines"),
         F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("removed", F.array().cast("array<int>")).alias("removed"),
         F.coalesce(F.col("all_links") / copies, F.lit(0)).cast("long").alias("n_links"),
     )
 
 
+def repeated_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -> DataFrame:
+    """A row per document: ``doc_id``, ``n_lines`` (long enough), ``n_removed``, ``removed`` (their numbers, from 0),
+    and ``n_links``, the lines within the distance of its lines."""
+    return marked_lines(docs, edits, crowd).drop("doc")
+
+
 def without_repeated_lines(docs: DataFrame, edits: int = MOST_EDITS) -> DataFrame:
     """``doc_id`` and ``text`` without the lines that are removed."""
-    removed = repeated_lines(docs, edits).select("doc_id", "removed").dropDuplicates(["doc_id"])
+    removed = marked_lines(docs, edits).select("doc", "removed").dropDuplicates(["doc"])  # rows repeated in full share it
     lines = F.split(F.col("text"), "\n")
     rest = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("removed", i)), "\n")
-    rows = docs.select(col("doc_id").cast("long").alias("doc_id"), col("text").alias("text"))
-    return rows.join(removed, "doc_id").select("doc_id", rest.alias("text"))
+    rows = docs.select(
+        col("doc_id").cast("long").alias("doc_id"), F.xxhash64(col("doc_id"), col("text")).alias("doc"),
+        col("text").alias("text"),
+    )
+    return rows.join(removed, "doc").select("doc_id", rest.alias("text"))

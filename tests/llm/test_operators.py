@@ -357,6 +357,17 @@ def test_linked_lines(spark, docs, rows, empty, crowd):
     assert line_dedup.repeated_lines(empty).count() == 0
 
 
+def test_text_without_repeated_lines(spark):
+    line = "a line that all of these documents have"
+    rows = [(1, f"{line}\nthe first document has this as its second"), (7, f"{line}\nshort"),
+            (7, f"quite another text of the same document id\n{line}"), (None, "a document without any id, of one line"),
+            (None, None), (9, f"{line}\nrepeated in full, 0123456789"), (9, f"{line}\nrepeated in full, 0123456789")]
+    want = [rows[0], (7, "short"), (7, "quite another text of the same document id"), rows[3], rows[4]]
+    want += [(9, "repeated in full, 0123456789")] * 2
+    found = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
+
+
 # Secrets
 
 
