@@ -7,7 +7,7 @@ contract.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroband.llm import chunk_dedup, decontamination, line_dedup, mixing, quality_rules, secret_scan, simhash_dedup
+from aeroband.llm import chunk_dedup, decontamination, line_dedup, mixing, quality_rules, secret_scan, sharding, simhash_dedup
 from aeroband.llm import suffix_dedup, token_files, url_rules
 from aeroband.session import scratch_folder
 
@@ -75,10 +75,14 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_checksums(spark, folder)
 
 
+def op13_jump_shards(spark, sf_dir):
+    return sharding.placed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in [
     op1_suffix_dedup, op2_mix_sources, op3_decontaminate, op4_simhash_golay, op5_quality_rules, op6_line_dedup,
     op7_secret_scan,
-    op8_chunk_dedup, op9_url_rules, op10_token_files,
+    op8_chunk_dedup, op9_url_rules, op10_token_files, op13_jump_shards,
 ]}
 
 ORACLE = {
@@ -114,5 +118,37 @@ with d as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failures & 3 <> 0 as base_failed, failures = 0 as kept, failures
 from f
+""",
+    # The checksum is the bitwise one over all bytes, with its table made by its rule; the shard is the sequence as published.
+    "op13_jump_shards": r"""
+with recursive crc_step as (
+  select i::bigint as b, i::bigint as v, 0 as turn from range(256) t(i)
+  union all
+  select b, case when v % 2 = 1 then xor(v // 2, 3988292384) else v // 2 end, turn + 1 from crc_step where turn < 8
+), crc_table as (
+  select list(v order by b) as crc_of from crc_step where turn = 8
+), d as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text from documents
+), texts as (
+  select text, regexp_extract_all(hex(encode(text)), '..') as digits from (select distinct text from d)
+), bytes as (
+  select text, len(digits) as n, [4294967295::bigint] || [
+    16 * (strpos('123456789ABCDEF', x[1])) + strpos('123456789ABCDEF', x[2]) for x in digits
+  ] as seeded
+  from texts
+), sums as (
+  select text, n, xor(list_reduce(seeded, lambda c, x: xor(c // 256, crc_of[xor(c % 256, x) + 1])), 4294967295) as text_crc32
+  from bytes, crc_table
+), jumps as (
+  select r, ('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 16))::hugeint as k, -1::bigint as b, 0::bigint as j from d
+  union all
+  select r, next_k, j, floor((j + 1) * (2147483648e0 / ((next_k // 8589934592)::double + 1)))::bigint
+  from (select r, j, (k * 2862933555777941757 + 1) % 18446744073709551616 as next_k from jumps where j < 25)
+), shards as (
+  select r, (max(j) filter (where j < 24))::integer as shard, (max(j) filter (where j < 25))::integer as grown_shard from jumps group by r
+)
+select doc_id, (n + 8)::bigint as size, text_crc32::bigint as text_crc32, 'key' as law, shard,
+  (row_number() over (partition by shard order by doc_id nulls first, n, text_crc32) - 1)::bigint as slot, grown_shard
+from d join shards using (r) join sums using (text)
 """,
 }
