@@ -7,8 +7,9 @@ contract.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroband.llm import chunk_dedup, decontamination, line_dedup, mixing, quality_rules, secret_scan, sharding, simhash_dedup
-from aeroband.llm import suffix_dedup, token_files, url_rules
+from aeroband.llm import chunk_dedup, decontamination, line_dedup, mixing, periodic_runs, quality_rules, secret_scan
+from aeroband.llm import sharding, simhash_dedup, suffix_dedup, token_files, url_rules
+from aeroband.llm.texts import WORD
 from aeroband.session import scratch_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -75,6 +76,42 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_checksums(spark, folder)
 
 
+def with_planted_runs(docs):
+    """``doc_id`` and ``text``; every tenth document by the checksum of its id repeats some of its words to its end."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rest = F.floor(checksum / 10)
+    words = F.array(F.regexp_extract_all("text", F.lit(WORD), 0))
+
+    def repeated(words):
+        first = rest % F.size(words)
+        period = 1 + F.floor((F.size(words) - first) / (3 + rest % 8))
+        return F.array_join(F.transform(words, lambda word, i: F.get(
+            words, F.when(i < first, i).otherwise(first + (i - first) % period).cast("int")
+        )), " ")
+
+    text = F.when(checksum % 10 == 0, F.transform(words, repeated)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs.runs(with_planted_runs(table(spark, sf_dir, "documents")), ["doc_id"])
+
+    def rank(a, b):
+        one, other = a["length"] * b["period"], b["length"] * a["period"]
+        first = F.when(one > other, -1).when(one < other, 1)
+        for name in ("start", "period"):
+            first = first.when(a[name] < b[name], -1).when(a[name] > b[name], 1)
+        return first.otherwise(0)
+
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.array_join(F.transform(listed, lambda line: F.concat(line, F.lit("\n"))), "")
+    return found.withColumn("best", F.get(F.array_sort("runs", rank), F.lit(0))).select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_jump_shards(spark, sf_dir):
     return sharding.placed(table(spark, sf_dir, "documents"))
 
@@ -82,7 +119,7 @@ def op13_jump_shards(spark, sf_dir):
 QUERIES = {f.__name__: f for f in [
     op1_suffix_dedup, op2_mix_sources, op3_decontaminate, op4_simhash_golay, op5_quality_rules, op6_line_dedup,
     op7_secret_scan,
-    op8_chunk_dedup, op9_url_rules, op10_token_files, op13_jump_shards,
+    op8_chunk_dedup, op9_url_rules, op10_token_files, op12_periodic_runs, op13_jump_shards,
 ]}
 
 ORACLE = {
