@@ -8,21 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroband.llm import chunk_dedup, decontamination, line_dedup, mixing, periodic_runs, quality_rules, secret_scan
-from aeroband.llm import sharding, simhash_dedup, suffix_dedup, token_files, url_rules
+from aeroband.llm import sharding, simhash_dedup, suffix_dedup, token_alignment, token_files, url_rules
 from aeroband.llm.texts import WORD
 from aeroband.session import scratch_folder
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(TOKENIZER))
+    return str(public_tokenizers.path(name))
 
 
 def op1_suffix_dedup(spark, sf_dir):
@@ -76,6 +77,11 @@ def op10_token_files(spark, sf_dir):
     return token_files.read_checksums(spark, folder)
 
 
+def op11_token_alignment(spark, sf_dir):
+    found = token_alignment.Alignment(table(spark, sf_dir, "documents"), ["doc_id"], *map(tokenizer_path, ALIGNED))
+    return found.documents().select("row.doc_id", *token_alignment.FIGURES, "n_best", "count_sum", "groups_sha256")
+
+
 def with_planted_runs(docs):
     """``doc_id`` and ``text``; every tenth document by the checksum of its id repeats some of its words to its end."""
     checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -119,7 +125,7 @@ def op13_jump_shards(spark, sf_dir):
 QUERIES = {f.__name__: f for f in [
     op1_suffix_dedup, op2_mix_sources, op3_decontaminate, op4_simhash_golay, op5_quality_rules, op6_line_dedup,
     op7_secret_scan,
-    op8_chunk_dedup, op9_url_rules, op10_token_files, op12_periodic_runs, op13_jump_shards,
+    op8_chunk_dedup, op9_url_rules, op10_token_files, op11_token_alignment, op12_periodic_runs, op13_jump_shards,
 ]}
 
 ORACLE = {
