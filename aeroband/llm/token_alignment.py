@@ -41,6 +41,7 @@ from aeroband.llm.token_files import groups as text_groups
 from aeroband.session import written_once
 
 RADIX_BITS = 8
+GROUP_BYTES = 1 << 20  # texts aligned at a time
 # Fixed value: how the byte-level tokenizer cuts texts into the pieces that it encodes by themselves.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
@@ -260,7 +261,7 @@ def aligned(
 
         for batch in batches:
             row_type = batch.column("row").type
-            for group in text_groups(batch.column("text")):
+            for group in text_groups(batch.column("text"), GROUP_BYTES):
                 figures, hashes, owner, ids_a, ids_b = align_texts(batch.column("text")[group].to_pylist())
                 for start in range(0, len(hashes), limits.block_docs):
                     part = slice(start, min(start + limits.block_docs, len(hashes)))

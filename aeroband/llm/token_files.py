@@ -18,6 +18,7 @@ set; other columns are ignored.
 import os
 import zlib
 from collections.abc import Callable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -70,8 +71,8 @@ def decode_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
 class WordEncoder:
     """Ids of a text by a tokenizer that treats words between spaces and line ends separately, remembering words.
 
-    The tokenizer must drop white space and never join across it, put letters in lower case one by one, and keep letters
-    apart from ``MARKS`` after them; then a word is looked up in lower case, its marks by themselves. ``CACHED_WORDS``
+    The tokenizer must normalize to NFC, drop white space and never join across it, put letters in lower case one by one,
+    and keep letters apart from ``MARKS`` after them; then a word is looked up in lower case, its marks by themselves. ``CACHED_WORDS``
     bounds the memory, not the result.
     """
 
@@ -113,11 +114,19 @@ class WordEncoder:
         """What is looked up for words: letters in lower case, and the marks after them; or the word, and nothing."""
         bases, marks = [], []
         for word in words:
-            base = word.rstrip(MARKS)
-            # Lower case of the odd letters depends on context or is two characters.
-            if base.isalpha() and (base.isascii() or ODD_LETTERS.isdisjoint(base)):
+            base, end = word, ""
+            if not word.isalpha():
+                base = word.rstrip(MARKS)
+                end = word[len(base):]
+                if not base.isalpha():
+                    bases.append(word)
+                    marks.append("")
+                    continue
+            # Lower case of the odd letters depends on context or is two characters. A letter that the tokenizer's normal
+            # form takes apart ends in a sign, which is not a letter and stays with the marks.
+            if base.isascii() or (ODD_LETTERS.isdisjoint(base) and is_normalized("NFC", base)):
                 bases.append(base.lower())
-                marks.append(word[len(base):])
+                marks.append(end)
             else:
                 bases.append(word)
                 marks.append("")
@@ -135,8 +144,8 @@ class WordEncoder:
         bases, marks = self._parts(new)
         self._learn(list(set(bases).union(marks).difference(known)))
         known.update(zip(new, [known[base] + known[end] for base, end in zip(bases, marks)]))
-        found = [known[word] for word in words]
-        sizes = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+        found = list(map(known.__getitem__, words))
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
         # The ids of all words in a row: those of a word begin where those of its entry do.
         places, entries = coded.indices.to_numpy(), np.frombuffer(b"".join(found), dtype="<u4")
         lengths = sizes[places]
@@ -153,13 +162,13 @@ TEXT_BYTES = 1 << 22  # texts are encoded in groups that end at the first one to
 ODD_LETTERS = {"\u0130", "\u03a3"}
 
 
-def groups(texts: pa.Array) -> Iterator[slice]:
-    """Runs of texts of about ``TEXT_BYTES``."""
+def groups(texts: pa.Array, size: int = TEXT_BYTES) -> Iterator[slice]:
+    """Runs of texts of about ``size`` bytes."""
     upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < len(upto):
         before = upto[start - 1] if start else 0
-        end = min(int(np.searchsorted(upto, before + TEXT_BYTES)) + 1, len(upto))
+        end = min(int(np.searchsorted(upto, before + size)) + 1, len(upto))
         yield slice(start, end)
         start = end
 
