@@ -1,12 +1,15 @@
 """Nearest match within a bucket: for each left row, the closest right row of the same bucket.
 
 In plain terms this is a left join on the bucket, then a rank by distance. Doing just that multiplies every left row
-by the right rows of its bucket. Two plans give the same rows without it, chosen by the measured size of the right side:
+by the right rows of its bucket. Instead the right rows of a bucket become arrays of at most ``per_chunk``, and the closest
+is picked inside the row:
 
-* lists: where buckets are small, the right rows of a bucket become one array, joined once to each left row, and
-  the closest is picked inside the row. The arrays are broadcast if they are measured to be small.
-* grid: where a bucket may hold very many right rows, the distinct left positions descend a grid over the right
-  positions, keeping only cells that can still hold the closest one. Exact, and with no bound on the right side.
+* A bucket whose rows fit one array is joined once to each left row.
+* A crowded bucket has several, each a stretch of its positions in order. They are joined to the distinct left positions
+  of that bucket, each gives its closest, and the least of those, combined before the exchange, goes back to the left
+  rows. Positions meet ceil(n / per_chunk) arrays, and one more for each task that a bucket's positions are spread over.
+
+One crowded bucket does not change how the others are matched. Both ways are exact and have no limit on either side.
 """
 
 from dataclasses import dataclass
@@ -17,32 +20,31 @@ from pyspark.sql import functions as F
 from aeroband.functions.geo import degree_distance_sq
 from aeroband.functions.numbers import finite_or_null
 from aeroband.operators.joins import BROADCAST_BYTES, join_on_bucket, row_bytes
-from aeroband.operators.latest import first_per_key
-from aeroband.session import written_once
 
 
 @dataclass(frozen=True)
 class NearestLimits:
-    """Measured sizes up to which the cheaper plans are taken."""
+    """Right rows in an array, and the measured size up to which the right side is broadcast."""
 
-    candidates_per_bucket: int = 64
+    per_chunk: int = 64
     broadcast_bytes: int = BROADCAST_BYTES
-    points_per_cell: int = 32
 
 
 @dataclass(frozen=True)
 class RightShape:
-    """What the choice of plan rests on."""
+    """What is measured of the right side."""
 
-    most_per_bucket: int
     total_bytes: int
+    crowded_buckets: int
 
 
-def right_shape(right: DataFrame, bucket: str) -> RightShape:
-    """Rows of the fullest bucket, and an upper estimate of all bytes. One aggregation, one row to the driver."""
+def right_shape(right: DataFrame, bucket: str, per_chunk: int = NearestLimits.per_chunk) -> RightShape:
+    """An upper estimate of all bytes, and the number of buckets beyond one array. One aggregation, one row to the
+    driver."""
     per_bucket = right.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(right)).alias("bytes"))
-    most, total = per_bucket.agg(F.max("n"), F.sum("bytes")).first()
-    return RightShape(most or 0, total or 0)
+    crowded = F.count_if((F.col("n") > per_chunk) & F.col(bucket).isNotNull())
+    total, buckets = per_bucket.agg(F.sum("bytes"), crowded).first()
+    return RightShape(total or 0, buckets)
 
 
 def nearest_match(
@@ -55,12 +57,13 @@ def nearest_match(
     carry: list[str],
     ties: list[str],
     limits: NearestLimits = NearestLimits(),
+    shape: RightShape | None = None,
 ) -> DataFrame:
     """``left`` with the ``carry`` columns and ``distance_sq`` of its nearest right row in the same ``bucket``.
 
     Nearest *available in that bucket*: a position without a right row there does not matter. Left rows without
     any, or with a null bucket, keep nulls. An unknown distance ranks last; equal distances are told apart by
-    ``ties``, nulls last, then by the carried values.
+    ``ties``, nulls last, then by the carried values. ``shape`` is that of the right side if it is known already.
     """
     tie_fields = [field for t in ties for field in (F.col(t).isNull().alias(f"no_{t}"), F.col(t).alias(f"tie_{t}"))]
     packed = right.filter(F.col(bucket).isNotNull()).select(
@@ -69,11 +72,18 @@ def nearest_match(
         finite_or_null(F.col(right_xy[1])).alias("_py"),
         F.struct(*tie_fields, *carry).alias("_row"),
     )
-    shape = right_shape(right.select(bucket, *{*right_xy, *carry, *ties}), bucket)
-    if shape.most_per_bucket <= limits.candidates_per_bucket:
-        found = _by_lists(left, packed, bucket, left_xy, shape.total_bytes <= limits.broadcast_bytes)
+    shape = shape or right_shape(right, bucket, limits.per_chunk)
+    small = shape.total_bytes <= limits.broadcast_bytes
+    # Unknown coordinates become NaN, which joins with itself.
+    nan = F.lit(float("nan"))
+    placed = left.withColumns({f"_{axis}": F.coalesce(finite_or_null(F.col(c)), nan) for axis, c in zip("xy", left_xy)})
+    if not shape.crowded_buckets:
+        found = _by_lists(placed, packed, bucket, small)
     else:
-        found = _by_grid(left, packed, bucket, left_xy, limits)
+        crowded = packed.groupBy(bucket).count().filter(F.col("count") > limits.per_chunk).select(bucket)
+        few = shape.crowded_buckets * BUCKET_BYTES <= BROADCAST_BYTES
+        others, theirs = [[_apart(df, crowded, bucket, how, few) for df in (placed, packed)] for how in ("left_anti", "left_semi")]
+        found = _by_lists(*others, bucket, small).unionByName(_by_chunks(*theirs, bucket, limits.per_chunk, small))
     return found.select(
         *left.columns,
         *[F.col(f"_row.{c}").alias(c) for c in carry],
@@ -81,119 +91,58 @@ def nearest_match(
     )
 
 
+BUCKET_BYTES = 64
+
+
+def _apart(df, crowded, bucket, how, few):
+    """The rows in crowded buckets (``how`` is "left_semi") or the others."""
+    if few:
+        return df.join(F.broadcast(crowded), bucket, how)
+    flagged = join_on_bucket(df, crowded.withColumn("_crowded", F.lit(True)), [bucket])
+    return flagged.filter(F.col("_crowded").isNotNull() if how == "left_semi" else F.col("_crowded").isNull()).drop("_crowded")
+
+
 def _distance(x: Column, y: Column, px: Column, py: Column) -> Column:
     """Distance to rank by: coordinates are finite or null, and an unknown distance is behind all others."""
     return F.coalesce(degree_distance_sq(x, y, px, py), F.lit(float("inf")))
 
 
-def _by_lists(left, packed, bucket, left_xy, small):
-    # Sorted by preference among equally near rows, so that the first one at the least distance is the winner. One array
-    # of plain numbers per coordinate: distances are then computed and searched without building a struct per candidate.
-    lists = (
-        packed.groupBy(bucket)
-        .agg(F.sort_array(F.collect_list(F.struct("_row", "_px", "_py"))).alias("_list"))
-        .select(bucket, F.col("_list._px").alias("_pxs"), F.col("_list._py").alias("_pys"), F.col("_list._row").alias("_rows"))
+def _arrays(rows, keys):
+    """The right rows of each key. Sorted by preference among equally near rows, so that the first one at the least
+    distance is the winner. One array of plain numbers per coordinate: distances are then computed and searched without
+    building a struct per candidate."""
+    gathered = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_row", "_px", "_py"))).alias("_list"))
+    return gathered.select(
+        *keys, F.col("_list._px").alias("_pxs"), F.col("_list._py").alias("_pys"), F.col("_list._row").alias("_rows")
     )
-    joined = join_on_bucket(left, lists, [bucket], small=small)
-    placed = joined.withColumns({"_x": finite_or_null(F.col(left_xy[0])), "_y": finite_or_null(F.col(left_xy[1]))})
-    measured = placed.withColumn(
-        "_distances", F.zip_with("_pxs", "_pys", lambda px, py: _distance(F.col("_x"), F.col("_y"), px, py))
-    ).withColumn("_distance", F.array_min("_distances"))
-    first = F.array_position("_distances", F.col("_distance")).cast("int") - F.lit(1)
-    return measured.withColumn("_row", F.get("_rows", first))
 
 
-def _by_grid(left, packed, bucket, left_xy, limits):
-    # Unknown coordinates become NaN, which joins with itself, so that every left row finds its position's row.
-    nan = F.lit(float("nan"))
-    positions = {f"_{axis}": F.coalesce(finite_or_null(F.col(c)), nan) for axis, c in zip("xy", left_xy)}
-    # Both sides are read several times below; written down, the plans behind them run once.
-    keyed = written_once(left.withColumns(positions))
-    packed = written_once(packed)
-    sites = written_once(keyed.filter(F.col(bucket).isNotNull()).select(bucket, "_x", "_y").distinct())
-    known = packed.filter(F.col("_px").isNotNull() & F.col("_py").isNotNull())
-    # Of right rows at one position only the first by ties can win: drops copies before any site sees them.
-    points = written_once(first_per_key(known, [bucket, "_px", "_py"], [F.asc("_row")]))
-
-    site = [bucket, "_x", "_y"]
-    placed = sites.filter(~F.isnan("_x") & ~F.isnan("_y"))
-    near = written_once(_closest_points(placed, points, bucket, limits.points_per_cell))
-    # Sites or buckets without any known position: all distances are unknown, so the ties alone decide.
-    unplaced = sites.join(near, site, "left_anti")
-    first_by_ties = first_per_key(packed.select(bucket, "_row"), [bucket], [F.asc("_row")])
-    tied = join_on_bucket(unplaced, first_by_ties, [bucket], how="inner").select(
-        *site, F.lit(None).cast("double").alias("_distance"), "_row"
-    )
-    # One row per site on the right; a site with very many left rows is split by AQE's skew join.
-    return keyed.join(near.unionByName(tied), site, "left")
-
+def _closest(joined):
+    """Adds ``_distance`` and ``_row`` of the closest entry of the arrays."""
+    x, y = finite_or_null(F.col("_x")), finite_or_null(F.col("_y"))
+    measured = joined.withColumns({"_fx": x, "_fy": y}).withColumn(
+        "_distances", F.zip_with("_pxs", "_pys", lambda px, py: _distance(F.col("_fx"), F.col("_fy"), px, py))
+    ).withColumn("_distance", F.array_min("_distances"))
+    first = F.array_position("_distances", F.col("_distance")).cast("int") - F.lit(1)
+    return measured.withColumn("_row", F.get("_rows", first)).drop("_fx", "_fy", "_distances", "_pxs", "_pys", "_rows")
 
-# Each level of the grid splits a cell into 8 x 8.
-LEVEL_BITS = 3
-DEEPEST = 7
 
+def _by_lists(left, packed, bucket, small):
+    return _closest(join_on_bucket(left, _arrays(packed, [bucket]), [bucket], small=small))
 
-def _closest_points(sites, points, bucket, points_per_cell):
-    """The best point of each site, by descending the grid level by level.
 
-    A non-empty cell bounds the distance of its closest point from below and from above. A cell whose lower bound
-    exceeds the least upper bound of its site cannot hold the winner and is dropped; few remain per level.
-    """
-    bounds = points.agg(F.min("_px"), F.min("_py"), F.max("_px"), F.max("_py")).first()
-    if bounds[0] is None:
-        row_type = points.schema["_row"].dataType
-        return sites.limit(0).withColumns({"_distance": F.lit(None).cast("double"), "_row": F.lit(None).cast(row_type)})
-    west, south = bounds[0], bounds[1]
-    span = max(bounds[2] - west, bounds[3] - south) or 1.0
-    # Cell edges are computed with rounding; widening the bounds a little keeps the pruning safe.
-    slack = span * 1e-9 + max(abs(b) for b in bounds) * 1e-12
-
-    def cell(value, origin, depth):
-        cells = 1 << (LEVEL_BITS * depth)
-        return F.least(F.lit(cells - 1), F.floor((F.col(value) - F.lit(origin)) / F.lit(span) * F.lit(float(cells))))
-
-    depth = 1
-    while depth < DEEPEST:
-        occupied = points.groupBy(bucket, cell("_px", west, depth), cell("_py", south, depth)).count()
-        if occupied.agg(F.max("count")).first()[0] <= points_per_cell:
-            break
-        depth += 1
-
-    leaves = points.withColumns({"_cx": cell("_px", west, depth), "_cy": cell("_py", south, depth)})
-    here = Window.partitionBy(bucket, "_x", "_y")
-    reached = sites.withColumns({"_cx": F.lit(0).cast("long"), "_cy": F.lit(0).cast("long")})
-    for level in range(1, depth + 1):
-        up = LEVEL_BITS * (depth - level)
-        children = (
-            leaves.select(bucket, F.shiftright("_cx", up).alias("_kx"), F.shiftright("_cy", up).alias("_ky"))
-            .distinct()
-            .withColumns({"_cx": F.shiftright("_kx", LEVEL_BITS), "_cy": F.shiftright("_ky", LEVEL_BITS)})
-        )
-        size = span / (1 << (LEVEL_BITS * level))
-        near_x, far_x = _reach("_x", F.lit(west) + F.col("_kx") * F.lit(size), size, slack)
-        near_y, far_y = _reach("_y", F.lit(south) + F.col("_ky") * F.lit(size), size, slack)
-        reached = (
-            join_on_bucket(reached, children, [bucket, "_cx", "_cy"], how="inner")
-            .select(
-                bucket, "_x", "_y", F.col("_kx").alias("_cx"), F.col("_ky").alias("_cy"),
-                (near_x * near_x + near_y * near_y).alias("_at_least"),
-                (far_x * far_x + far_y * far_y).alias("_at_most"),
-            )
-            .withColumn("_bound", F.min("_at_most").over(here))
-            .filter(F.col("_at_least") <= F.col("_bound"))
-            .drop("_at_least", "_at_most", "_bound")
-        )
-    candidates = join_on_bucket(reached, leaves, [bucket, "_cx", "_cy"], how="inner")
-    distance = _distance(F.col("_x"), F.col("_y"), F.col("_px"), F.col("_py"))
+def _by_chunks(left, packed, bucket, per_chunk, small):
+    # Of right rows at one position only the first by ties can win: drops copies before any site sees them.
+    points = packed.groupBy(bucket, "_px", "_py").agg(F.min("_row").alias("_row"))
+    # In order of position over all tasks, so that a bucket of any size is spread; numbered within each.
+    spread = points.repartitionByRange(bucket, "_px", "_py").withColumn("_part", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy(bucket, "_part").orderBy("_px", "_py")) - 1
+    chunks = _arrays(spread.withColumn("_chunk", (place / per_chunk).cast("int")), [bucket, "_part", "_chunk"])
+    sites = left.select(bucket, "_x", "_y").distinct()
+    candidates = join_on_bucket(sites, chunks.drop("_part", "_chunk"), [bucket], how="inner", small=small)
     # The order of the struct is the order of preference.
-    best = candidates.groupBy(bucket, "_x", "_y").agg(F.min(F.struct(distance.alias("d"), "_row")).alias("_best"))
-    return best.select(bucket, "_x", "_y", F.col("_best.d").alias("_distance"), "_best._row")
-
-
-def _reach(value, low_edge, size, slack):
-    """Least and greatest distance along one axis from a value to a cell."""
-    v, high_edge = F.col(value), low_edge + F.lit(size)
-    nearest = F.greatest(low_edge - v, v - high_edge, F.lit(slack)) - F.lit(slack)
-    farthest = F.greatest(F.abs(v - low_edge), F.abs(v - high_edge)) + F.lit(slack)
-    return nearest, farthest
-
+    nearest = F.min(F.struct("_distance", "_row"))
+    best = _closest(candidates).groupBy(bucket, "_x", "_y").agg(nearest.alias("_best"))
+    # One row per site on the right; a site with very many left rows is split by AQE's skew join.
+    found = left.join(best, [bucket, "_x", "_y"], "left")
+    return found.withColumns({"_distance": F.col("_best._distance"), "_row": F.col("_best._row")}).drop("_best")

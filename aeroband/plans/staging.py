@@ -46,31 +46,6 @@ def staged_readings(raw: DataFrame, rules=LABEL_RULES, source=READINGS_SOURCE, k
     )
 
 
-def staged_keys(raw: DataFrame, rules=LABEL_RULES) -> DataFrame:
-    """The columns of the staged readings that checks look at, row for row, without ranking whole rows: one row per
-    reading's key, and a value that is null exactly if the reading's is."""
-    keys = valid_readings(raw).groupBy("station_id", "pollutant", "timestamp").agg(F.max("value").alias("value"))
-    return keys.select(
-        "station_id",
-        standardise("pollutant", rules).alias("pollutant"),
-        F.col("timestamp").alias("measured_at"),
-        F.col("value").alias("measurement_value"),
-    )
-
-
-def staged_weather_keys(raw: DataFrame) -> DataFrame:
-    """The columns of the staged weather that checks look at, row for row, without ranking whole rows."""
-    keys = raw.filter(F.col("timestamp").isNotNull()).select("location_name", "timestamp").distinct()
-    return keys.withColumnRenamed("timestamp", "measured_at")
-
-
-def labels_collide(raw: DataFrame, rules=LABEL_RULES) -> bool:
-    """Whether two raw labels in the data have one standard name. Reads only the label column."""
-    labels = raw.select("pollutant").distinct()
-    shared = labels.groupBy(standardise("pollutant", rules).alias("name")).count().filter("count > 1")
-    return not shared.isEmpty()
-
-
 def staged_weather(raw: DataFrame) -> DataFrame:
     """The newest ingest of each location's hour, with its date and hour of day."""
     timed = raw.filter(F.col("timestamp").isNotNull())

@@ -6,9 +6,9 @@ from pyspark.sql import SparkSession
 
 class Folder:
     def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
+        self._jvm = spark.sparkContext._jvm
         self.path = path.rstrip("/")
-        self._hadoop_path = jvm.org.apache.hadoop.fs.Path
+        self._hadoop_path = self._jvm.org.apache.hadoop.fs.Path
         self._fs = self._hadoop_path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _at(self, name=""):
@@ -23,9 +23,39 @@ class Folder:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(self._at(name)))
 
+    def seconds_since(self, name: str) -> float:
+        """Age of a file by the clock of this machine."""
+        now = self._jvm.java.lang.System.currentTimeMillis()
+        return (now - self._fs.getFileStatus(self._at(name)).getModificationTime()) / 1000
+
     def mark(self, name: str) -> None:
         """Create an empty file; fails if it is there."""
         self._fs.create(self._at(name), False).close()
 
+    def claim(self, name: str) -> bool:
+        """Create an empty file, or say that it is there already."""
+        try:
+            self.mark(name)
+        except Exception:  # stores differ in what they raise
+            if self.exists(name):
+                return False
+            raise
+        return True
+
+    def write_text(self, name: str, text: str) -> None:
+        """A new file; fails if it is there."""
+        stream = self._fs.create(self._at(name), False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def read_text(self, name: str) -> str:
+        stream = self._fs.open(self._at(name))
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._at(name), True)

@@ -1,6 +1,7 @@
 """Models in the catalog: staging as views, the rest as tables that a run replaces."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def materialise(df: DataFrame, name: str, kind: str = "table", partition_by: list[str] | None = None) -> DataFrame:
@@ -26,17 +27,29 @@ def materialise(df: DataFrame, name: str, kind: str = "table", partition_by: lis
 
 
 def replace_partitions(df: DataFrame, name: str, partition_by: list[str]) -> None:
-    """Replace only those partitions of a table that ``df`` has rows for."""
+    """Replace only those partitions of a table that ``df`` has rows for.
+
+    The files are replaced below the table's location, where the writer itself takes the mode, and new partitions are
+    then made known to the catalog. No setting of the session is touched, on which other writers may rely.
+    """
     spark = df.sparkSession
     spread = df.select(*spark.table(name).columns).hint("rebalance", *partition_by)
-    # insertInto takes the mode from the session alone; a writer option would be ignored and all dates lost.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        spread.write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    described = spark.sql(f"describe formatted {name}").filter("col_name = 'Location'").first()["data_type"]
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(described)
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(name) if column.isPartition]
+
+
+def on_partitions(df: DataFrame, column: str, values: list) -> DataFrame:
+    """The rows of the given partitions, null among them, as a filter that skips all other files."""
+    known = [value for value in values if value is not None]
+    wanted = F.col(column).isin(known) if known else F.lit(False)
+    return df.filter(wanted | F.col(column).isNull() if None in values else wanted)
 
 
 def base_tables(spark: SparkSession, databases: list[str]) -> list[str]:

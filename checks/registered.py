@@ -1,6 +1,7 @@
 """The registered queries: each runs over whole tables and returns a DataFrame, and has a twin in ``sql.py``."""
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +12,16 @@ from aeroband.operators import clean, geosearch, reshape
 from aeroband.operators.aggregates import mean_where, row_count
 from aeroband.operators.latest import dedupe_latest
 from aeroband.operators.nearest import NearestLimits
-from aeroband.operators.quality import run_suite
+from aeroband.operators.quality import QualityError, run_suite
 from aeroband.plans import checks, marts, pipeline, serving, staging
 from aeroband.plans import enriched as enrichment
-from aeroband.schemas import BAND_BOUNDS, READINGS, READINGS_SOURCE, SERIES_COLUMNS, SERIES_DOC, WEATHER, WEATHER_DOC
+from aeroband.schemas import BAND_BOUNDS, DEFAULT_POLLUTANTS, READINGS, READINGS_SOURCE, SERIES_COLUMNS, SERIES_DOC, WEATHER, WEATHER_DOC
 from aeroband.schemas import WEATHER_VARIABLES
-from aeroband.session import scratch_folder
-from aeroband.sources import landed, raw, snapshot, tables
+from aeroband.session import scratch_folder, written_once
+from aeroband.sources import landed as landed_docs
+from aeroband.sources import raw, snapshot, tables
+from aeroband.sources.files import Folder
+from aeroband.streaming.refresh import refresh_new_batches
 from checks.inputs import again, readings, table, weather
 
 # Parameters of the queries, shared with their SQL twins.
@@ -30,6 +34,7 @@ EXACT_POINT = (50.31, 5.390000000000001)
 MIN_INDEX = 4
 INDEX_RANGE = (2.5, 6.0)
 RUN_TIME = datetime(2024, 2, 1, 6, 17, 0)
+CROWDED_HOUR = datetime(2024, 1, 9, 7, 0, 0)
 
 DAILY_REALS = [
     "avg_pm25", "avg_pm10", "avg_no2", "avg_o3",
@@ -134,10 +139,32 @@ def nearest_weather_shuffled(spark, sf_dir):
 def nearest_weather_grid(spark, sf_dir):
     """The same, as if an hour held too many locations for a list."""
     return enrichment.enriched(
-        readings(spark, sf_dir), weather(spark, sf_dir), limits=NearestLimits(candidates_per_bucket=0, points_per_cell=1)
+        readings(spark, sf_dir), weather(spark, sf_dir), limits=NearestLimits(per_chunk=2)
     )
 
 
+def crowded_weather(spark, sf_dir):
+    """The weather, with a location for each supplier in one hour, and one far off all others in every hour."""
+    air = weather(spark, sf_dir)
+    values = [v for v in WEATHER_VARIABLES if v != "temperature_2m"]
+    crowd = table(spark, sf_dir, "supplier").selectExpr(
+        "concat('Supplier ', s_suppkey) as location_name", "49.5D + (s_suppkey * 37 % 1999) / 1000D as latitude",
+        "2.5D + (s_suppkey * 53 % 3989) / 1000D as longitude", f"timestamp_ntz'{CROWDED_HOUR}' as timestamp",
+        "cast(s_suppkey as double) as temperature_2m", *[f"0D as {v}" for v in values],
+        f"timestamp_ntz'{CROWDED_HOUR}' as ingested_at",
+    )
+    far = air.select("timestamp").distinct().selectExpr(
+        "'Far' as location_name", "-89D as latitude", "179D as longitude", "timestamp",
+        *[f"-1D as {v}" for v in WEATHER_VARIABLES], "timestamp as ingested_at",
+    )
+    return air.unionByName(crowd).unionByName(far)
+
+
+def nearest_weather_crowded(spark, sf_dir):
+    """One hour with very many locations, and an outlier."""
+    return enrichment.enriched(readings(spark, sf_dir), crowded_weather(spark, sf_dir))
+
+
 def colliding(df):
     """``df``, and some of its readings once more under another label of the same pollutant, moved a little."""
     moved = df.filter(F.hour("timestamp") % 4 == 0).withColumns(
@@ -199,6 +226,24 @@ def station_daily_range(spark, sf_dir):
     return rounded(days, DAILY_REALS)
 
 
+def in_order(df):
+    """With the place of each row in the answer, which is small enough for one task."""
+    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+
+
+def stations_in_order(spark, sf_dir):
+    return in_order(serving.stations(summary(spark, sf_dir))).select("place", "station_id", "mean_belaqi")
+
+
+def station_daily_in_order(spark, sf_dir):
+    days = in_order(serving.station_daily(daily(spark, sf_dir), STATION, STATION_FIRST))
+    return days.select("place", "measurement_date", "belaqi_overall")
+
+
+def overview_in_order(spark, sf_dir):
+    return in_order(serving.overview(summary(spark, sf_dir))).select("place", "station_label", "mean_belaqi")
+
+
 def station_daily_all(spark, sf_dir):
     return rounded(serving.station_daily(daily(spark, sf_dir), STATION), DAILY_REALS)
 
@@ -303,12 +348,12 @@ def series_docs(spark, sf_dir):
 
 
 def series_json_explode(spark, sf_dir):
-    good, _ = landed.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC, landed.readable_series)
-    return landed.explode_series(good, RUN_TIME)
+    good, _ = landed_docs.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC, landed_docs.readable_series)
+    return landed_docs.explode_series(good, RUN_TIME)
 
 
 def series_json_rejected(spark, sf_dir):
-    good, rejected = landed.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC, landed.readable_series)
+    good, rejected = landed_docs.parse_docs(series_docs(spark, sf_dir), "body", SERIES_DOC, landed_docs.readable_series)
     counted = [
         df.agg(row_count("documents")).select(F.lit(kind).alias("kind"), "documents")
         for kind, df in (("good", good), ("rejected", rejected))
@@ -334,8 +379,33 @@ def weather_docs(spark, sf_dir):
 
 
 def weather_json_explode(spark, sf_dir):
-    good, _ = landed.parse_docs(weather_docs(spark, sf_dir), "body", WEATHER_DOC, landed.readable_weather)
-    return landed.explode_weather(good, RUN_TIME)
+    good, _ = landed_docs.parse_docs(weather_docs(spark, sf_dir), "body", WEATHER_DOC, landed_docs.readable_weather)
+    return landed_docs.explode_weather(good, RUN_TIME)
+
+
+def weather_json_rejected(spark, sf_dir):
+    """Documents with a time that cannot be read, and ones cut off, are set aside; the others' hours are taken."""
+    docs = weather_docs(spark, sf_dir).withColumn("n", F.dayofmonth(F.expr("try_cast(substr(get_json_object(body, '$.hourly.time[0]'), 1, 10) as date)")))
+    spoilt = docs.withColumn("body", F.expr(r"""case
+      when n % 7 = 3 then regexp_replace(body, '"time":\\["[^"]*"', '"time":["soon"')
+      when n % 7 = 5 then left(body, length(body) - 2) else body end"""))
+    good, rejected = landed_docs.parse_docs(spoilt, "body", WEATHER_DOC, landed_docs.readable_weather)
+    hours = landed_docs.explode_weather(good, RUN_TIME).groupBy("location_name").agg(row_count("hours"))
+    return rejected.groupBy("location_name").agg(row_count("rejected")).join(hours, "location_name", "full")
+
+
+def series_json_bad_times(spark, sf_dir):
+    """Series documents with an epoch beyond all dates in otherwise good JSON are set aside."""
+    docs = series_docs(spark, sf_dir).withColumn("id", F.get_json_object("body", "$.id")).withColumn(
+        "odd", F.expr("(cast(split_part(id, '-', 1) as int) + cast(split_part(id, '-', 3) as int)) % 10 = 6")
+    )
+    spoilt = docs.withColumn("body", F.expr(
+        r"""case when odd then regexp_replace(body, '"timestamp":([0-9]+)', '"timestamp":$1000000') else body end"""
+    ))
+    good, rejected = landed_docs.parse_docs(spoilt, "body", SERIES_DOC, landed_docs.readable_series)
+    readings_kept = landed_docs.explode_series(good, RUN_TIME).agg(row_count("n")).select(F.lit("readings").alias("kind"), "n")
+    kinds = [df.agg(row_count("n")).select(F.lit(kind).alias("kind"), "n") for kind, df in (("good", good), ("rejected", rejected))]
+    return reduce(DataFrame.unionByName, [*kinds, readings_kept])
 
 
 def parallel_arrays_flatten(spark, sf_dir):
@@ -343,7 +413,7 @@ def parallel_arrays_flatten(spark, sf_dir):
     packed = table(spark, sf_dir, "events").groupBy("user_id", F.expr("event_id div 1024").alias("block")).agg(
         F.array_sort(F.collect_list(F.struct("event_id", "value", "event_type"))).alias("e")
     )
-    return landed.flatten_parallel_arrays(
+    return landed_docs.flatten_parallel_arrays(
         packed,
         index=F.col("e.event_id"),
         arrays={
@@ -385,9 +455,9 @@ def new_layout(spark):
     run = folder.rstrip("/").split("/")[-1].replace("-", "_").lower()
     layout = pipeline.Layout(
         readings=f"{folder}/readings", weather=f"{folder}/weather", published=f"{folder}/published",
-        intermediate=f"intermediate_{run}", marts=f"marts_{run}",
+        intermediate=f"intermediate_{run}", marts=f"marts_{run}", state=f"state_{run}",
     )
-    for database in (layout.intermediate, layout.marts):
+    for database in (layout.intermediate, layout.marts, layout.state):
         spark.sql(f"create database {database} location '{folder}/{database}'")
     return layout
 
@@ -402,53 +472,92 @@ def snapshot_roundtrip(spark, sf_dir):
     return rounded(stored, DAILY_REALS).withColumn("is_live", F.lit(is_live))
 
 
-def landed_batch(df):
-    """What a run with the default pollutants lands: no day is without an index, so all checks pass."""
-    return clean.filter_labels(df, "pollutant")
+def landed(spark, sf_dir, pollutants):
+    """The readings of the series that a run asked for."""
+    return clean.filter_labels(readings(spark, sf_dir), "pollutant", pollutants)
 
 
 def published_summary(spark, sf_dir):
-    """The whole refresh: land, rebuild, check, publish; then the published summary."""
+    """The whole refresh of the default pollutants: land, rebuild, check, publish; then the published summary."""
     layout = new_layout(spark)
-    raw.append_raw(landed_batch(readings(spark, sf_dir)), layout.readings)
+    raw.append_raw(landed(spark, sf_dir, DEFAULT_POLLUTANTS), layout.readings)
     raw.append_raw(weather(spark, sf_dir), layout.weather)
     pipeline.run_pipeline(spark, layout)
     return snapshot.read_snapshot(spark, layout.published, layout.summary_table)
 
 
-def refreshed_daily(spark, sf_dir):
-    """A full refresh, then corrections of some hours, then the refresh of the dates they touch."""
+def refused_publication(spark, sf_dir):
+    """The same with all readings, some days of which have no index: what the refusal names, and nothing published."""
     layout = new_layout(spark)
-    first = landed_batch(readings(spark, sf_dir))
-    corrected = again(first, "value").filter(F.col("ingested_at") >= F.lit("2024-01-25").cast("timestamp_ntz"))
+    raw.append_raw(readings(spark, sf_dir), layout.readings)
+    raw.append_raw(weather(spark, sf_dir), layout.weather)
+    failures = []
+    try:
+        pipeline.run_pipeline(spark, layout)
+    except QualityError as refusal:
+        failures = refusal.failures
+    is_published = Folder(spark, layout.published).exists()
+    schema = "table_name string, check_name string, column_name string, violations long"
+    return spark.createDataFrame(failures, schema).withColumn("is_published", F.lit(is_published))
+
+
+def landed_first(spark, sf_dir, layout):
+    """A full refresh of the default pollutants, and corrections of some hours that have come in since."""
+    first = landed(spark, sf_dir, DEFAULT_POLLUTANTS)
     raw.append_raw(first, layout.readings)
     raw.append_raw(weather(spark, sf_dir), layout.weather)
     pipeline.run_pipeline(spark, layout)
-    raw.append_raw(corrected, layout.readings)
+    return again(first, "value").filter(F.col("ingested_at") >= F.lit("2024-01-25").cast("timestamp_ntz"))
+
+
+def refreshed_daily(spark, sf_dir):
+    """A full refresh, then corrections of some hours, then the refresh of the dates they touch."""
+    layout = new_layout(spark)
+    raw.append_raw(landed_first(spark, sf_dir, layout), layout.readings)
     pipeline.refresh_dates(spark, layout, since=date(2024, 1, 25))
     return rounded(snapshot.read_snapshot(spark, layout.published, layout.daily_table), DAILY_REALS)
 
 
+def streamed_daily(spark, sf_dir):
+    """The same, the refresh being driven by the files that landed."""
+    layout = new_layout(spark)
+    corrected, progress = landed_first(spark, sf_dir, layout), f"{scratch_folder(spark)}/progress"
+    raw.append_raw(corrected, layout.readings)
+    refresh_new_batches(spark, layout, progress)
+    return rounded(snapshot.read_snapshot(spark, layout.published, layout.daily_table), DAILY_REALS)
+
+
+def refreshed_summary(spark, sf_dir):
+    """The published summary after such a refresh, which merges the months' statistics."""
+    layout = new_layout(spark)
+    raw.append_raw(landed_first(spark, sf_dir, layout), layout.readings)
+    pipeline.refresh_dates(spark, layout, since=date(2024, 1, 25))
+    return snapshot.read_snapshot(spark, layout.published, layout.summary_table)
+
+
 # Checks
 
 
 def quality_report(spark, sf_dir):
+    """The checks of every model; those that several suites or models read are written once."""
     models = {
-        "staged_readings": staging.staged_keys(readings(spark, sf_dir)),
+        "staged_readings": staging.staged_readings(readings(spark, sf_dir), keep_raw_label=True),
         "staged_weather": staging.staged_weather(weather(spark, sf_dir)),
-        "readings_with_weather": enriched(spark, sf_dir),
     }
-    models["daily_index"] = marts.daily_index(models["readings_with_weather"])
-    models["station_summary"] = marts.station_summary(models["daily_index"])
-    reports = [
+    models = {name: written_once(df) for name, df in models.items()}
+    models["readings_with_weather"] = written_once(enrichment.readings_with_weather(*models.values()))
+    models["daily_index"] = written_once(marts.daily_index(models["readings_with_weather"]))
+    models["station_summary"] = written_once(marts.station_summary(models["daily_index"]))
+    return named_reports(pipeline.check_reports(models))
+
+
+def named_reports(reports):
+    named = [
         report.select(F.lit(table).alias("table_name"), F.col("check").alias("check_name"),
                       F.col("column").alias("column_name"), "violations", "passed")
-        for table, report in pipeline.check_reports(models).items()
+        for table, report in reports.items()
     ]
-    report = reports[0]
-    for other in reports[1:]:
-        report = report.unionByName(other)
-    return report
+    return reduce(DataFrame.unionByName, named)
 
 
 def quality_report_orders(spark, sf_dir):
@@ -470,12 +579,16 @@ QUERIES = {
         valid_readings, standard_labels, dedupe_latest_readings, dedupe_latest_weather, dedupe_latest_orders,
         label_allow_list, label_allow_list_default, lookback_window, lookback_days,
         hour_join, nearest_weather, nearest_weather_shuffled, nearest_weather_grid, nearest_weather_collapsed,
+        nearest_weather_crowded,
         daily_index, station_summary, band_index_lineitem, conditional_pivot,
-        stations_min_index, station_daily_range, station_daily_all, nearby, nearby_exact_point, distance_to_point,
+        stations_min_index, station_daily_range, station_daily_all, stations_in_order,
+        station_daily_in_order, overview_in_order, nearby, nearby_exact_point, distance_to_point,
         nearest_station_to_point, label_to_id, station_options, mean_index_range, selected_count, overview,
         band_colours, pollutant_series_long, wind_vs_index_pairs, boundary_vs_pm25_pairs, latest_date,
-        null_non_finite, series_json_explode, series_json_rejected, weather_json_explode, parallel_arrays_flatten,
-        typed_empty_roundtrip, union_raw_batches, snapshot_roundtrip, published_summary, refreshed_daily,
+        null_non_finite, series_json_explode, series_json_rejected, series_json_bad_times,
+        weather_json_explode, weather_json_rejected, parallel_arrays_flatten,
+        typed_empty_roundtrip, union_raw_batches, snapshot_roundtrip, published_summary, refused_publication,
+        refreshed_daily, refreshed_summary, streamed_daily,
         quality_report, quality_report_orders,
     ]
 }

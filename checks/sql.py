@@ -1,14 +1,21 @@
 """DuckDB twins of the registered queries, over the whole tables."""
 
-from aeroband.schemas import (
-    BAND_BOUNDS, BAND_COLOURS, DEFAULT_POLLUTANTS, SERIES_COLUMNS, SERIES_LABELS, UNKNOWN_COLOUR,
-)
 from checks import registered as q
 from checks.inputs import again_sql
 from checks.models_sql import (
-    WEATHER_LIST, band_sql, label_sql, rounded, staged_readings_sql, staged_weather_sql, standard_sql, with_parts,
+    BOUNDS, WEATHER_COLUMNS, WEATHER_LIST, band_sql, label_sql, rounded, staged_readings_sql, staged_weather_sql, standard_sql,
+    with_parts,
 )
 
+# Fixed values, written out here too.
+SERIES_LABELS = {
+    "PM10": "Particulate Matter < 10", "PM2.5": "Particulate Matter < 2.5", "NO2": "Nitrogen dioxide", "O3": "Ozone",
+    "BC": "Black Carbon",
+}
+DEFAULT_POLLUTANTS = ["PM10", "PM2.5", "NO2", "O3"]
+SERIES_COLUMNS = {"PM2.5": "avg_pm25", "PM10": "avg_pm10", "NO₂": "avg_no2", "O₃": "avg_o3"}
+COLOURS = "#50C878 #7CCD7C #FFD700 #FFC125 #FF8C00 #FF6347 #DC143C #B22222 #8B0000 #4B0000".split()
+
 STAGED_COLUMNS = (
     "station_id, station_label, latitude, longitude, pollutant, measured_at, measurement_value, unit, ingested_at, "
     "data_source"
@@ -138,6 +145,14 @@ group by a.station_id, a.raw_label, a.pollutant, a.measured_at"""),
     "nearest_weather": with_parts("enriched", "select * from enriched"),
     "nearest_weather_shuffled": with_parts("enriched", "select * from enriched"),
     "nearest_weather_grid": with_parts("enriched", "select * from enriched"),
+    "nearest_weather_crowded": with_parts("enriched", "select * from enriched", {
+        "crowded": f"""
+select * from w union all
+select concat('Supplier ', s_suppkey), 49.5e0 + (s_suppkey * 37 % 1999) / 1e3, 2.5e0 + (s_suppkey * 53 % 3989) / 1e3,
+  timestamp '{q.CROWDED_HOUR}', cast(s_suppkey as double), {', '.join(['0e0'] * 7)}, timestamp '{q.CROWDED_HOUR}' from supplier
+union all
+select 'Far', -89e0, 179e0, hr, {', '.join(['-1e0'] * 8)}, hr from (select distinct "timestamp" as hr from w)""",
+        "staged_weather": staged_weather_sql("crowded")}),
     "nearest_weather_collapsed": with_parts("enriched", "select * from enriched", {
         "moved": f"""
 select * from r union all
@@ -150,8 +165,8 @@ from r where hour("timestamp") % 4 = 0""",
     "band_index_lineitem": f"""
 select *, {label_sql('band_overall')} as label
 from (select *, greatest(band_quantity, band_price) as band_overall, count(*) as n
-      from (select {band_sql('l_quantity', BAND_BOUNDS['PM2.5'])} as band_quantity,
-              {band_sql('l_extendedprice / 1000', BAND_BOUNDS['PM10'])} as band_price from lineitem)
+      from (select {band_sql('l_quantity', BOUNDS['pm25'])} as band_quantity,
+              {band_sql('l_extendedprice / 1000', BOUNDS['pm10'])} as band_price from lineitem)
       group by all)""",
     "conditional_pivot": """
 select l_suppkey, cast(year(l_shipdate) as integer) as ship_year, cast(month(l_shipdate) as integer) as ship_month,
@@ -182,8 +197,8 @@ select count(*) as stations from summary where mean_belaqi between {INDEX_LOW} a
     "overview": summary("""
 select station_label, mean_belaqi, mean_pm25, mean_pm10, mean_no2, days_with_data, pct_days_poor from summary"""),
     "band_colours": summary(f"""
-select station_id, mean_belaqi, case {BAND} {' '.join(f"when {i} then '{c}'" for i, c in BAND_COLOURS.items())}
-  else '{UNKNOWN_COLOUR}' end as colour from summary"""),
+select station_id, mean_belaqi, case {BAND} {' '.join(f"when {i} then '{c}'" for i, c in enumerate(COLOURS, 1))}
+  else '#808080' end as colour from summary"""),
     "pollutant_series_long": daily("\nunion all\n".join(
         f"select station_id, station_lat, measurement_date, '{label}' as series, round({column}, 6) as value from daily "
         f"where exists (select 1 from daily where {column} is not null)"
@@ -203,6 +218,12 @@ from events""",
     "series_json_rejected": """
 select case when (user_id + block) % 10 = 3 then 'rejected' else 'good' end as kind, count(*) as documents
 from (select distinct user_id, event_type, event_id // 4096 as block from events) group by all""",
+    "series_json_bad_times": """
+with blocks as (select user_id, event_type, event_id // 4096 as block, count(*) as n, (user_id + event_id // 4096) % 10 in (3, 6) as bad
+  from events group by all)
+select 'good' as kind, count(*) filter (where not bad) as n from blocks union all
+select 'rejected', count(*) filter (where bad) from blocks union all
+select 'readings', cast(coalesce(sum(n) filter (where not bad), 0) as bigint) from blocks""",
     "weather_json_explode": with_parts("w", f"""
 select location_name, latitude, longitude, "timestamp", {WEATHER_LIST}, timestamp '{q.RUN_TIME}' as ingested_at
 from (select * replace (
@@ -210,6 +231,10 @@ from (select * replace (
           < count(*) over (partition by location_name, cast("timestamp" as date)) then precipitation end as precipitation,
         case when day("timestamp") % 2 = 0 then cloud_cover end as cloud_cover)
       from w)"""),
+    "weather_json_rejected": with_parts("w", """
+select location_name, nullif(count(distinct case when day("timestamp") % 7 in (3, 5) then cast("timestamp" as date) end), 0)
+    as rejected, nullif(count(*) filter (where day("timestamp") % 7 not in (3, 5)), 0) as hours
+from w group by all"""),
     "parallel_arrays_flatten": """
 select user_id, event_id,
   case when row_number() over (partition by user_id, event_id // 1024 order by event_id)
@@ -225,6 +250,19 @@ from (select * from r union all select * from ({again_sql('r', 'value')}) union
         "batch": f"select * from r where {LANDED}", "staged": staged_readings_sql("batch")}),
     "refreshed_daily": with_parts("daily", f"select {rounded(q.DAILY_REALS)} from daily", {
         "batches": CORRECTED, "staged": staged_readings_sql("batches")}),
+    "refreshed_summary": with_parts("summary", "select * from summary", {
+        "batches": CORRECTED, "staged": staged_readings_sql("batches")}),
+    "streamed_daily": with_parts("daily", f"select {rounded(q.DAILY_REALS)} from daily", {
+        "batches": CORRECTED, "staged": staged_readings_sql("batches")}),
+    "refused_publication": summary(
+        "select *, false as is_published from (" + "\nunion all\n".join(REPORT) + ") where violations > 0"),
+    "stations_in_order": summary("""
+select row_number() over (order by mean_belaqi desc nulls last, station_id) - 1 as place, station_id, mean_belaqi from summary"""),
+    "station_daily_in_order": daily(f"""
+select row_number() over (order by measurement_date desc nulls last, station_label, station_lat, station_lon) - 1 as place,
+  measurement_date, belaqi_overall from daily where station_id = '{q.STATION}' and measurement_date >= date '{q.STATION_FIRST}'"""),
+    "overview_in_order": summary("""
+select row_number() over (order by mean_belaqi desc nulls last, station_label) - 1 as place, station_label, mean_belaqi from summary"""),
     "quality_report": summary(
         "select *, violations = 0 as passed from (" + "\nunion all\n".join(REPORT) + ")"),
     "quality_report_orders": "select *, violations = 0 as passed from (" + "\nunion all\n".join(

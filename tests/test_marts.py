@@ -1,8 +1,11 @@
+import math
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from aeroband.operators.aggregates import where, with_totals
 from aeroband.plans import enriched as enrichment
 from aeroband.plans import marts
 from tests.frames import NOON, observation, reading, readings, weather
@@ -91,3 +94,42 @@ def test_mean_where_is_null_without_rows(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None)], "k string, v double")
     means = df.agg(*[mean_where(F.col("k") == k, F.col("v")).alias(k) for k in "abc"]).first()
     assert tuple(means) == (pytest.approx(1.5), None, None)
+
+
+def sums(df):
+    found = with_totals(df.groupBy("k"), {"total": "v"}, {"mean": "v", "part": where("k = 1", "v")}, F.count("*").alias("n"))
+    return [repr(tuple(r)) for r in found.orderBy("k").collect()]
+
+
+def test_sums_have_equal_bits_however_rows_are_spread(spark):
+    rng = random.Random(4)
+    values = [rng.choice([1.0, -1.0]) * rng.random() * 10 ** rng.randint(-12, 9) for _ in range(4000)] + [None, 0.1, -0.0]
+    df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "k int, v double")
+    found = {tuple(sums(df.repartition(n, "v"))) for n in (1, 7, 40)} | {tuple(sums(df.orderBy(F.desc("v"))))}
+    assert len(found) == 1
+    for row in with_totals(df.groupBy("k"), {"t": "v"}, {"m": "v"}).collect():
+        own = [v for i, v in enumerate(values) if i % 3 == row["k"] and v is not None]
+        assert row["t"] == pytest.approx(math.fsum(own), rel=1e-15) and row["m"] == pytest.approx(math.fsum(own) / len(own), rel=1e-15)
+
+
+def test_sums_of_special_values(spark):
+    def total(*values):
+        return with_totals(spark.createDataFrame([(v,) for v in values], "v double").groupBy(), {"t": "v"}, {}).first()[0]
+
+    assert total() is None and total(None) is None and total(0.1) == 0.1 and total(-0.1, 0.1) == 0.0
+    assert total(-2.5, 1.25) == -1.25 and total(1e12, 0.5) == 1e12 + 0.5 and total(float("inf"), 1.0) == float("inf")
+    assert math.isnan(total(float("nan"), 1.0)) and total(2.0**31, -(2.0**31), 3.0) == 3.0
+
+
+def test_summary_from_months_is_that_from_days(spark):
+    rng = random.Random(8)
+    rows = [
+        reading(station_id=str(rng.randrange(4)), pollutant=rng.choice(["PM2.5", "PM10", "Ozone", "Black Carbon"]),
+                timestamp=datetime(2024, 1, 1) + timedelta(days=rng.randrange(120)), value=rng.random() * 99)
+        for _ in range(500)
+    ] + [reading(timestamp=None)]
+    days = daily(spark, rows, [observation(timestamp=datetime(2024, 2, n, 0), temperature_2m=n / 7) for n in range(1, 20)])
+    merged = marts.summary_of_months(marts.station_months(days).repartition(5))
+    whole = marts.station_summary(days)
+    assert merged.dtypes == whole.dtypes
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, whole.collect()))

@@ -5,16 +5,18 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from aeroband.operators.nearest import NearestLimits, nearest_match, right_shape
+from aeroband.operators.nearest import NearestLimits, RightShape, nearest_match, right_shape
+from aeroband.functions.labels import standardise
 from aeroband.plans import enriched as enrichment
 from aeroband.plans import staging
 from tests.frames import NOON, observation, reading, readings, weather
 
 PLANS = {
-    "broadcast lists": NearestLimits(candidates_per_bucket=10_000),
-    "shuffled lists": NearestLimits(candidates_per_bucket=10_000, broadcast_bytes=0),
-    "grid": NearestLimits(candidates_per_bucket=0),
-    "deep grid": NearestLimits(candidates_per_bucket=0, points_per_cell=1),
+    "broadcast lists": NearestLimits(per_chunk=10_000),
+    "shuffled lists": NearestLimits(per_chunk=10_000, broadcast_bytes=0),
+    "some buckets crowded": NearestLimits(per_chunk=45),
+    "chunks": NearestLimits(per_chunk=1),
+    "shuffled chunks": NearestLimits(per_chunk=4, broadcast_bytes=0),
 }
 LEFT = "id int, bucket long, x double, y double"
 RIGHT = "name string, bucket long, x double, y double, v int"
@@ -98,19 +100,36 @@ def test_empty_sides(spark, limits):
 
 
 def test_shape_is_measured(spark):
-    shape = right_shape(spark.createDataFrame([("a", 1), ("bb", 1), (None, 2)], "n string, b long"), "b")
-    assert (shape.most_per_bucket, shape.total_bytes) == (2, 3 * 32 + 3)
-    empty = right_shape(spark.createDataFrame([], "n string, b long"), "b")
-    assert (empty.most_per_bucket, empty.total_bytes) == (0, 0)
+    rows = spark.createDataFrame([("a", 1), ("bb", 1), (None, 2), ("c", None), ("c", None)], "n string, b long")
+    assert right_shape(rows, "b", 1) == RightShape(5 * 32 + 5, 1)
+    assert right_shape(rows, "b", 2) == RightShape(5 * 32 + 5, 0)
+    assert right_shape(rows.limit(0), "b") == RightShape(0, 0)
 
 
 def test_plan_follows_the_measured_size(spark, plan_of):
     left = spark.createDataFrame([(1, 1, 0.0, 0.0)], LEFT)
     right = spark.createDataFrame([("a", 1, 0.0, 0.0, 1), ("b", 1, 0.0, 1.0, 1)], RIGHT)
     assert "BroadcastHashJoin" in plan_of(match(left, right, NearestLimits()))
-    spread = plan_of(match(left, right, NearestLimits(broadcast_bytes=0)))
-    assert "_salt" in spread and "zip_with" in spread
-    assert "zip_with" not in plan_of(match(left, right, NearestLimits(candidates_per_bucket=1)))
+    assert "_salt" in plan_of(match(left, right, NearestLimits(broadcast_bytes=0)))
+    assert "_chunk" not in plan_of(match(left, right, NearestLimits()))
+    assert "_chunk" in plan_of(match(left, right, NearestLimits(per_chunk=1)))
+
+
+def test_a_crowded_bucket_is_cut_into_arrays(spark, monkeypatch):
+    """Candidates are the sites times the arrays; other buckets stay out of it."""
+    from aeroband.operators import nearest
+
+    seen = []
+    closest = nearest._closest
+    monkeypatch.setattr(nearest, "_closest", lambda joined: seen.append(joined) or closest(joined))
+    right = [(f"p{n}", 0, n % 50 / 7, n // 50 / 3, n) for n in range(1000)] + [("q", 1, 0.0, 0.0, 1), ("far", 0, 1e9, -1e9, 0)]
+    left = [(n, n % 2, n % 10 / 3, 0.5) for n in range(400)]
+    check(spark, left, right, NearestLimits())
+    lists, chunks = seen
+    assert lists.filter("bucket = 0").isEmpty()
+    sizes = [r["n"] for r in chunks.select(F.size("_pxs").alias("n")).collect()]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes) <= 64 and len(sizes) <= 5 * (math.ceil(1001 / 64) + parts)
 
 
 def model(spark, rows, observations, **options):
@@ -141,12 +160,15 @@ def test_colliding_labels_collapse_by_distance_then_ingest_then_label(spark):
     assert value(two()) == [1.0]
 
 
-def test_skipping_the_collapse_changes_nothing_without_collisions(spark):
+def test_only_colliding_names_are_collapsed(spark):
     rows = [reading(station_id=str(i % 3), timestamp=NOON + timedelta(hours=i)) for i in range(9)]
-    both = [sorted(map(str, model(spark, rows, [observation()], collapse=c).collect())) for c in (True, False)]
-    assert both[0] == both[1]
+    rows += [reading(pollutant=label, value=v) for label, v in (("PM2.5", 1.0), ("Particulate 2.5", 2.0))]
     raw, air = readings(spark, *rows), weather(spark, observation())
-    assert sorted(map(str, enrichment.enriched(raw, air).collect())) == both[0]
+    names = enrichment.colliding_names(raw.select(F.col("pollutant").alias("raw_label")), standardise("raw_label"))
+    assert [r["pollutant"] for r in names.collect()] == ["PM2.5"]
+    found = enrichment.enriched(raw, air)
+    assert sorted(map(str, found.collect())) == sorted(map(str, model(spark, rows, [observation()]).collect()))
+    assert found.count() == 10
 
 
 def test_hour_join_counts_the_weather_of_the_hour(spark):

@@ -1,10 +1,11 @@
+import os
 import uuid
 from datetime import date, datetime, timedelta
 
 import pytest
 
 from aeroband.operators.quality import QualityError
-from aeroband.plans import pipeline
+from aeroband.plans import pipeline, serving
 from aeroband.schemas import WEATHER
 from aeroband.sources import raw, snapshot
 from aeroband.streaming.refresh import refresh_new_batches
@@ -18,10 +19,10 @@ POLLUTANTS = ["Ozone", "Particulate Matter < 2.5 µm", "Nitrogen dioxide"]
 def layout(spark, tmp_path):
     run = uuid.uuid4().hex
     made = pipeline.Layout(
-        str(tmp_path / "readings"), str(tmp_path / "weather"), str(tmp_path / "published"), f"i_{run}", f"m_{run}"
+        str(tmp_path / "readings"), str(tmp_path / "weather"), str(tmp_path / "published"), f"i_{run}", f"m_{run}", f"s_{run}"
     )
     yield made
-    for database in (made.intermediate, made.marts):
+    for database in (made.intermediate, made.marts, made.state):
         spark.sql(f"drop database if exists {database} cascade")
 
 
@@ -164,3 +165,66 @@ def test_empty_raw_tables_fail_the_row_count(spark, layout):
     assert {(t, c) for t, c, _, _ in refusal.value.failures} == {
         ("daily_index", "row_count"), ("station_summary", "row_count"),
     }
+
+
+def files_by_day(layout, table):
+    root = f"{layout.published}/tables/{table.replace('.', '/')}"
+    return {version: sorted(n for n in os.listdir(f"{root}/{version}") if "=" in n) for version in sorted(os.listdir(root))}
+
+
+def test_a_refresh_of_one_day_publishes_and_checks_that_day_only(spark, layout, plan_of, monkeypatch):
+    for day in range(4):
+        land(spark, layout, day, START + timedelta(days=day + 1))
+    pipeline.run_pipeline(spark, layout)
+    before = snapshot.read_snapshot(spark, layout.published, layout.daily_table)
+    later = START + timedelta(days=9)
+    raw.append_raw(batch(spark, 2, later, add=20.0), layout.readings)
+    checked = {}
+    state_of = pipeline.suite_state
+    monkeypatch.setattr(pipeline, "suite_state", lambda df, checks, part: checked.update({len(checked): df}) or state_of(df, checks, part))
+    pipeline.refresh_dates(spark, layout, since=later.date())
+    for table, column in ((layout.enriched_table, "measured_date"), (layout.daily_table, "measurement_date")):
+        assert files_by_day(layout, table)["_version=v00000002"] == [f"{column}=2024-01-12"]
+        published = snapshot.read_snapshot(spark, layout.published, table)
+        assert sorted(map(str, published.collect())) == sorted(map(str, spark.table(table).select(published.columns).collect()))
+    assert before.count() == 12  # the version before is whole still
+    # Each model itself is checked, on the day's rows; the summary is one whole.
+    assert [df.count() for df in checked.values()] == [54, 12, 54, 3, 3]
+    assert "raw_label" in checked[0].columns and "temperature_2m" in checked[1].columns
+    daily = snapshot.read_snapshot(spark, layout.published, layout.daily_table)
+    plan = plan_of(serving.station_daily(daily, "1", date(2024, 1, 12), date(2024, 1, 12)))
+    assert "PartitionFilters: [isnotnull(measurement_date" in plan and "EqualTo(station_id,1)" in plan
+
+
+def test_state_after_refreshes_is_that_of_a_rebuild(spark, layout):
+    for day in range(2):
+        land(spark, layout, day, START + timedelta(days=day + 1))
+    pipeline.run_pipeline(spark, layout)
+    later = START + timedelta(days=30)
+    raw.append_raw(batch(spark, 1, later, add=20.0), layout.readings)
+    land(spark, layout, 25, later)  # of the next month
+    pipeline.refresh_dates(spark, layout, since=later.date())
+    names = [layout.counts_table, layout.keys_table, layout.months_table]
+    refreshed = contents(spark, names)
+    reports = sorted(map(str, pipeline.stored_reports(spark, layout).collect()))
+    pipeline.run_pipeline(spark, layout)
+    assert refreshed == contents(spark, names) and len(refreshed["station_months"]) == 6
+    assert reports == sorted(map(str, pipeline.stored_reports(spark, layout).collect()))
+
+
+def test_a_day_that_was_refused_stays_refused_until_it_is_mended(spark, layout):
+    """The state of a bad day is kept: a refresh of another day does not let it pass."""
+    land(spark, layout, 0, START + timedelta(days=1))
+    pipeline.run_pipeline(spark, layout)
+    for day, number in ((5, 3), (6, 4)):
+        later = START + timedelta(days=day)
+        raw.append_raw(batch(spark, number, later, pollutants=["Black Carbon"] if day == 5 else POLLUTANTS), layout.readings)
+        with pytest.raises(QualityError) as refusal:
+            pipeline.refresh_dates(spark, layout, since=later.date())
+        assert ("daily_index", "between", "belaqi_overall", 3) in refusal.value.failures
+    mended = START + timedelta(days=8)
+    raw.append_raw(batch(spark, 3, mended), layout.readings)
+    pipeline.refresh_dates(spark, layout, since=mended.date())
+    # All that was refused meanwhile is published now.
+    published = snapshot.read_snapshot(spark, layout.published, layout.daily_table)
+    assert sorted(map(str, published.collect())) == sorted(map(str, spark.table(layout.daily_table).select(published.columns).collect()))

@@ -1,8 +1,10 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from aeroband.operators.quality import (
-    QualityError, accepted_values, between, gate, not_null, row_count, run_suite, unique,
+    QualityError, accepted_values, between, gate, merged_report, not_null, row_count, run_suite, suite_state, unique,
 )
 
 GOOD = [("a", 1), ("b", 10)]
@@ -62,3 +64,32 @@ def test_gate_names_every_failure(spark):
         })
     assert refusal.value.failures == [("one", "not_null", "x", 3), ("three", "between", "id", 1)]
     assert "three: between id (1 violations)" in str(refusal.value)
+
+
+def test_state_merges_to_the_report_of_the_whole(spark):
+    days = [date(2024, 1, n) for n in (1, 2, 3)] + [None]
+    rows = [(f"k{n % 7}" if n % 5 else None, n % 13, days[n % 4]) for n in range(100)]
+    df = spark.createDataFrame(rows, "k string, v int, d date")
+    for kept in (rows, rows[:3], rows[:1], []):
+        part = df.limit(0) if not kept else spark.createDataFrame(kept, df.schema)
+        counts, keys = suite_state(part, suite(), F.col("d"))
+        assert sorted(map(str, merged_report(counts, keys, suite()).collect())) == sorted(map(str, run_suite(part, suite()).collect()))
+
+
+def test_state_of_changed_partitions_replaces_theirs(spark):
+    """Values that are unique on each day but not across days are found, and no longer once a day has changed."""
+    first, second = date(2024, 1, 1), date(2024, 1, 2)
+    old = spark.createDataFrame([("a", 1, first), ("b", 50, first), ("b", 3, second)], "k string, v int, d date")
+    new = spark.createDataFrame([("c", 3, second)], old.schema)
+    states = [suite_state(df, suite(), F.col("d")) for df in (old, new)]
+    report = lambda *state: {(r["check"], r["column"]): r["violations"] for r in merged_report(*state, suite()).collect()}
+    assert report(*states[0])["unique", "k"] == 1
+    kept = [state.filter(F.col("part") != F.lit(second)) for state in states[0]]
+    after = report(*[a.unionByName(b) for a, b in zip(kept, states[1])])
+    assert after["unique", "k"] == 0 and after["between", "v"] == 1 and after["row_count", ""] == 0
+
+
+def test_state_reads_the_table_once(spark, tmp_path):
+    spark.range(20).selectExpr("string(id) as k", "int(id) as v", "date'2024-01-01' as d").write.parquet(str(tmp_path / "t"))
+    counts, keys = suite_state(spark.read.parquet(str(tmp_path / "t")), suite(), F.col("d"))
+    assert not [f for df in (counts, keys) for f in df.inputFiles() if str(tmp_path / "t") in f]

@@ -140,20 +140,21 @@ def test_snapshot_copies_tables_but_not_views(spark, database, tmp_path):
     dest = str(tmp_path / "out")
     assert snapshot.publish_snapshot(spark, [database], dest) == [f"{database}.a_second", f"{database}.mart"]
     assert [tuple(r) for r in snapshot.read_snapshot(spark, dest, f"{database}.mart").collect()] == [(1, 3)]
-    assert sorted(os.listdir(f"{dest}/v00000001/{database}")) == ["a_second", "mart"]
+    assert sorted(os.listdir(f"{dest}/tables/{database}")) == ["a_second", "mart"]
 
 
 def test_snapshot_is_replaced_and_left_overs_go(spark, database, tmp_path):
     dest = str(tmp_path / "out")
-    os.makedirs(f"{dest}/v00000009/half")
+    os.makedirs(f"{dest}/v00000000/half")
     for index in (3, 5, 7):
         tables.materialise(one_row(spark, index), f"{database}.mart")
         snapshot.publish_snapshot(spark, [database], dest)
     assert snapshot.read_snapshot(spark, dest, f"{database}.mart").first()["belaqi"] == 7
     # The one before stays for readers still on it.
-    assert sorted(os.listdir(dest)) == ["v00000002", "v00000003"]
+    assert sorted(os.listdir(dest)) == ["tables", "v00000002", "v00000003"]
     snapshot.publish_snapshot(spark, [database], dest, keep=1)
-    assert sorted(os.listdir(dest)) == ["v00000004"]
+    assert sorted(os.listdir(dest)) == ["tables", "v00000004"]
+    assert os.listdir(f"{dest}/tables/{database}/mart") == ["_version=v00000004"]
     with pytest.raises(ValueError, match="kept"):
         snapshot.publish_snapshot(spark, [database], dest, keep=0)
 
@@ -183,10 +184,18 @@ def test_failure_half_way_leaves_the_old_version(spark, database, tmp_path, monk
     tables.materialise(one_row(spark), f"{database}.mart")
     snapshot.publish_snapshot(spark, [database], dest)
     tables.materialise(one_row(spark, 7), f"{database}.mart")
-    monkeypatch.setattr(snapshot.Folder, "mark", lambda *_: (_ for _ in ()).throw(OSError("disk full")))
+    mark = snapshot.Folder.mark
+
+    def full(folder, name):
+        if name.endswith("_PUBLISHED"):
+            raise OSError("disk full")
+        mark(folder, name)
+
+    monkeypatch.setattr(snapshot.Folder, "mark", full)
     with pytest.raises(OSError):
         snapshot.publish_snapshot(spark, [database], dest)
-    assert os.listdir(dest) == ["v00000001"]
+    assert sorted(os.listdir(dest)) == ["tables", "v00000001"]
+    assert os.listdir(f"{dest}/tables/{database}/mart") == ["_version=v00000001"]
     assert snapshot.read_snapshot(spark, dest, f"{database}.mart").first()["belaqi"] == 3
 
 
@@ -204,6 +213,118 @@ def test_read_published_falls_back(spark, database, tmp_path):
         snapshot.read_published(spark, str(tmp_path / "a"), str(tmp_path / "b"), f"{database}.mart")
 
 
+def days_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "station_id string, v int, d date")
+
+
+def folders(dest, table):
+    root = f"{dest}/tables/{table.replace('.', '/')}"
+    return {version: sorted(os.listdir(f"{root}/{version}")) for version in sorted(os.listdir(root))}
+
+
+ONE, TWO, THREE = (date(2024, 1, n) for n in (1, 2, 3))
+
+
+def test_a_version_writes_the_changed_partitions_only(spark, database, tmp_path, plan_of):
+    dest, name = str(tmp_path / "out"), f"{database}.days"
+    tables.materialise(days_of(spark, ("a", 1, ONE), ("b", 2, TWO), ("a", 3, None)), name, partition_by=["d"])
+    tables.materialise(one_row(spark), f"{database}.other")
+    snapshot.publish_snapshot(spark, [database], dest, sort_by={name: ["station_id"]})
+    before = snapshot.read_snapshot(spark, dest, name)
+    tables.replace_partitions(days_of(spark, ("a", 20, TWO), ("c", 4, THREE), ("a", 30, None)), name, ["d"])
+    snapshot.publish_snapshot(spark, [database], dest, changed={name: [TWO, THREE, None]})
+    found = snapshot.read_snapshot(spark, dest, name)
+    assert found.columns == ["station_id", "v", "d"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, spark.table(name).collect()))
+    written = {v: [f for f in own if f.startswith("d=")] for v, own in folders(dest, name).items()}
+    null = "d=__HIVE_DEFAULT_PARTITION__"
+    assert written == {
+        "_version=v00000001": ["d=2024-01-01", "d=2024-01-02", null], "_version=v00000002": ["d=2024-01-02", "d=2024-01-03", null],
+    }
+    assert list(folders(dest, f"{database}.other")) == ["_version=v00000001"]
+    # A reader still on the version before sees it unchanged.
+    assert sorted(r["v"] for r in before.collect()) == [1, 2, 3]
+    plan = plan_of(found.filter(F.col("d") >= F.lit(TWO)))
+    assert "PartitionFilters: [isnotnull(d" in plan
+    # What only the outdated version used goes, the rest stays.
+    snapshot.publish_snapshot(spark, [database], dest, keep=1, changed={})
+    assert [f for f in folders(dest, name)["_version=v00000001"] if "=" in f] == ["d=2024-01-01"]
+    assert sorted(r["v"] for r in snapshot.read_snapshot(spark, dest, name).collect()) == [1, 4, 20, 30]
+
+
+def test_a_partition_that_vanished_is_no_longer_published(spark, database, tmp_path):
+    dest, name = str(tmp_path / "out"), f"{database}.days"
+    tables.materialise(days_of(spark, ("a", 1, ONE), ("b", 2, TWO)), name, partition_by=["d"])
+    snapshot.publish_snapshot(spark, [database], dest)
+    tables.materialise(days_of(spark, ("a", 1, ONE)), name, partition_by=["d"])
+    snapshot.publish_snapshot(spark, [database], dest, changed={name: [TWO]})
+    assert [r["v"] for r in snapshot.read_snapshot(spark, dest, name).collect()] == [1]
+    # All partitions gone: typed and empty.
+    tables.materialise(days_of(spark), name, partition_by=["d"])
+    snapshot.publish_snapshot(spark, [database], dest, changed={name: [ONE]})
+    found = snapshot.read_snapshot(spark, dest, name)
+    assert not found.collect() and found.dtypes == [("station_id", "string"), ("v", "int"), ("d", "date")]
+
+
+def test_a_changed_schema_is_written_anew(spark, database, tmp_path):
+    dest, name = str(tmp_path / "out"), f"{database}.days"
+    tables.materialise(days_of(spark, ("a", 1, ONE), ("b", 2, TWO)), name, partition_by=["d"])
+    snapshot.publish_snapshot(spark, [database], dest)
+    tables.materialise(days_of(spark, ("a", 1, ONE), ("b", 2, TWO)).selectExpr("v", "'x' as w", "d"), name, partition_by=["d"])
+    snapshot.publish_snapshot(spark, [database], dest, changed={name: [TWO]})
+    assert sorted(r["v"] for r in snapshot.read_snapshot(spark, dest, name).filter("w = 'x'").collect()) == [1, 2]
+
+
+def test_publishers_do_not_disturb_each_other(spark, database, tmp_path, monkeypatch):
+    dest = str(tmp_path / "out")
+    tables.materialise(one_row(spark, 1), f"{database}.mart")
+    snapshot.publish_snapshot(spark, [database], dest)
+    # Another one is at work on the next version, and a third died long ago.
+    for version in ("v00000002", "v00000003"):
+        os.makedirs(f"{dest}/{version}")
+        open(f"{dest}/{version}/_CLAIMED", "w").close()
+        os.makedirs(f"{dest}/tables/{database}/mart/_version={version}")
+    os.utime(f"{dest}/v00000002/_CLAIMED", (0, 0))
+    snapshot.publish_snapshot(spark, [database], dest)
+    assert sorted(os.listdir(dest)) == ["tables", "v00000001", "v00000003", "v00000004"]
+    assert "_version=v00000003" in folders(dest, f"{database}.mart")
+    # One that is overtaken while it writes gives up.
+    write_text = snapshot.Folder.write_text
+
+    def overtaken(folder, name, text):
+        write_text(folder, name, text)
+        if name.startswith("v00000005"):
+            open(f"{dest}/v00000003/_PUBLISHED", "w").close()
+
+    monkeypatch.setattr(snapshot.Folder, "write_text", overtaken)
+    with pytest.raises(snapshot.PublicationConflict):
+        snapshot.publish_snapshot(spark, [database], dest)
+    assert "v00000005" not in os.listdir(dest)
+
+
+def test_an_empty_partitioned_batch_keeps_its_schema(spark, tmp_path):
+    path = str(tmp_path / "readings")
+    raw.append_raw(raw.empty(spark, READINGS), path)
+    assert raw.read_raw(spark, path).schema == READINGS and not raw.read_raw(spark, path).collect()
+    raw.append_raw(readings(spark, reading()), path)
+    assert raw.read_raw(spark, path).collect() == readings(spark, reading()).collect()
+
+
+def test_two_writers_in_one_session(spark, database):
+    """One replaces partitions while another overwrites a whole table: neither changes how the other writes."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    for name in ("one", "two"):
+        tables.materialise(days_of(spark, ("a", 1, ONE), ("b", 2, TWO)), f"{database}.{name}", partition_by=["d"])
+    with ThreadPoolExecutor(2) as pool:
+        for n in range(3):
+            changed = pool.submit(tables.replace_partitions, days_of(spark, ("b", 20 + n, TWO)), f"{database}.one", ["d"])
+            whole = pool.submit(tables.materialise, days_of(spark, ("c", n, THREE)), f"{database}.two", "table", ["d"])
+            changed.result(), whole.result()
+            assert sorted(r["v"] for r in spark.table(f"{database}.one").collect()) == [1, 20 + n]
+            assert [r["v"] for r in spark.table(f"{database}.two").collect()] == [n]
+
+
 def test_partitions_are_replaced_one_by_one(spark, database):
     days = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "d string, v int").withColumn("d", F.col("d").cast("date"))
     tables.materialise(days, f"{database}.days", partition_by=["d"])

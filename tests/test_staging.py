@@ -2,9 +2,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from aeroband.functions.labels import standardise
 from aeroband.operators import clean
 from aeroband.operators.latest import dedupe_latest
 from aeroband.plans import staging
+from aeroband.plans.enriched import colliding_names
 from aeroband.schemas import POLLUTANTS
 from tests.frames import NOON, observation, reading, readings, weather
 
@@ -37,8 +39,10 @@ def test_two_raw_labels_of_one_pollutant_both_pass(spark):
     df = readings(spark, reading(pollutant="PM2.5"), reading(pollutant="Particulate Matter < 2.5 µm", ingested_at=LATER))
     staged = staging.staged_readings(df)
     assert [r["pollutant"] for r in staged.collect()] == ["PM2.5", "PM2.5"]
-    assert staging.labels_collide(df)
-    assert not staging.labels_collide(readings(spark, reading(), reading(pollutant=None), reading(pollutant="pm10")))
+    labels = lambda *rows: readings(spark, *rows).select(F.col("pollutant").alias("raw_label"))
+    names = lambda df: [r[0] for r in colliding_names(df, standardise("raw_label")).collect()]
+    assert names(df.select(F.col("pollutant").alias("raw_label"))) == ["PM2.5"]
+    assert names(labels(reading(), reading(), reading(pollutant=None), reading(pollutant="pm10"))) == []
 
 
 def test_reading_without_time_passes(spark):
@@ -68,25 +72,6 @@ def test_weather_keeps_newest_and_drops_untimed(spark):
     ]
 
 
-def test_staged_keys_equal_the_staged_columns(spark):
-    df = readings(
-        spark, reading(), reading(ingested_at=LATER), reading(pollutant=None), reading(station_id=None, pollutant="x"),
-        reading(station_id=None, pollutant="x", ingested_at=LATER), reading(value=-1.0, pollutant="bc"),
-    )
-    columns = ["station_id", "pollutant", "measured_at"]
-    ours, theirs = staging.staged_keys(df).select(columns), staging.staged_readings(df).select(columns)
-    assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
-
-
-def test_staged_weather_keys_equal_the_staged_columns(spark):
-    df = weather(
-        spark, observation(), observation(ingested_at=LATER), observation(location_name=None), observation(timestamp=None)
-    )
-    columns = ["location_name", "measured_at"]
-    ours, theirs = staging.staged_weather_keys(df), staging.staged_weather(df).select(columns)
-    assert sorted(map(str, ours.select(columns).collect())) == sorted(map(str, theirs.collect()))
-
-
 def test_a_key_with_a_third_of_all_rows_is_reduced_before_the_exchange(spark, plan_of):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
