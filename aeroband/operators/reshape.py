@@ -29,10 +29,14 @@ def pairs(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def to_series(df: DataFrame, ids: list[str], columns: dict[str, str], name="series", value="value") -> DataFrame:
     """Wide to long: one row per row of ``df`` and named column; columns without any value are left out, single
-    nulls stay. ``columns`` maps series names to columns."""
-    kept = set(non_empty_columns(df, list(columns.values())))
-    named = {label: column for label, column in columns.items() if column in kept}
+    nulls stay. ``columns`` maps series names to columns.
+
+    All in one plan: the names of the series that hold a value, no more than there are columns, are joined back.
+    """
+    named = {label: column for label, column in columns.items() if column in df.columns}
     if not named:
         return df.select(*ids, F.lit(None).cast("string").alias(name), F.lit(None).cast("double").alias(value)).limit(0)
     wide = df.select(*ids, *[F.col(column).alias(label) for label, column in named.items()])
-    return wide.unpivot(ids, [f"`{label}`" for label in named], name, value)
+    long = wide.unpivot(ids, [f"`{label}`" for label in named], name, value)
+    held = long.filter(F.col(value).isNotNull()).select(name).distinct()
+    return long.join(F.broadcast(held), name, "left_semi").select(*ids, name, value)

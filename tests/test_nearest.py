@@ -181,13 +181,18 @@ def test_hour_join_counts_the_weather_of_the_hour(spark):
     assert found == {NOON + timedelta(minutes=59): (2, 2.5), NOON + timedelta(hours=1): (0, None), None: (0, None)}
 
 
-def test_hot_hour_is_spread_over_reducers(spark):
-    from aeroband.operators.joins import SALTS, join_on_bucket
+def test_a_hot_key_is_spread_over_reducers(spark, plan_of):
+    from aeroband.operators.joins import join_on_bucket, salted
 
-    left = spark.range(5000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"), "id")
-    right = spark.createDataFrame([(7, "seven"), (3, "three")], "k long, word string")
-    joined = join_on_bucket(left, right, ["k"])
+    key = F.when(F.col("id") % 3 > 0, 7).when(F.col("id") % 9 > 0, F.col("id"))
+    left = spark.range(9000).select(key.alias("k"), "id")
+    right = spark.createDataFrame([(7, "seven"), (3, "three"), (None, "null")], "k long, word string")
+    joined = join_on_bucket(left, right, ["k"], most=500)
     words = {r["word"]: r["n"] for r in joined.groupBy("word").agg(F.count("*").alias("n")).collect()}
-    assert words == {"seven": 3333, "three": 1, None: 1666}
-    salts = left.select(F.pmod(F.xxhash64("k", "id"), F.lit(SALTS)).alias("s")).filter("k = 7").groupBy("s").count()
-    assert salts.count() == SALTS and salts.agg(F.max("count")).first()[0] < 2 * 3333 / SALTS
+    assert words == {"seven": 6000, "three": 1, None: 2999}
+    assert joined.columns == ["k", "id", "word"]
+    # Twelve copies of the right row of the hot key, two for the nulls, one of the other; none without skew.
+    for most, copies in ((500, {7: 12, 3: 1, None: 2}), (10_000, {7: 1, 3: 1, None: 1})):
+        spread, copied = salted(left, right, ["k"], most)
+        assert {r["k"]: r["count"] for r in copied.groupBy("k").count().collect()} == copies
+        assert spread.filter("k = 7").select("_salt").distinct().count() == copies[7]
