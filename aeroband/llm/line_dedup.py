@@ -3,42 +3,49 @@
 A segment-partition join (as in PASS-JOIN, Li et al. 2011). A line is cut into one segment more than the edits allowed,
 so that of two lines within that distance one contains a segment of the other unchanged, at a place that differs by no
 more than the edits before and after it allow. Each line lists its own segments (index) and, for each length that a
-partner may have, the substrings that could be a segment of it (probes), as hashes with length and number. Equal hashes
-are candidates; their distance is verified by a bit-parallel automaton in a band around the diagonal.
+partner may have, the substrings that could be a segment of it (probes), as hashes with length and number. Both come
+from one table of the distinct lines, in one exchange by key; keys that only one line has end there. Where lines meet,
+their distance is verified by a bit-parallel automaton in a band around the diagonal.
 
-Segments that more than ``CROWD`` different lines of a length share (the start of a template, say) are not paired.
-Lines that have or probe one go through the same join with two segments more, of which any three in place must agree;
-that key covers most of a line, so that it is rarely shared, and there is no limit to it.
+Lines that meet at a key are compared in blocks of ``CROWD`` index lines and about ``PROBES`` probing lines. A block
+gives no pairs but a row per line: how many links it has there, and one line that it is connected to. A pair that
+shares several keys is counted at the first of them.
 
-Lines are told apart by a 64-bit hash; equal lines are one line in the search. Only hashes are exchanged, but for the
-texts of distinct lines, once, for the verification.
+Segments that more than ``CROWD`` different lines of a length share (the start of a template, say) are left to a second
+search: lines that have or probe one are cut into two segments more, of which any three in place must agree; that key
+covers most of a line, so that it is rarely shared, and there is no limit to it.
 
 Linked lines form classes (connected components). The first line of a class, in order of document id and place, stays.
-Lines of fewer than ``LEAST_CHARS`` characters, outer white space apart, are never removed.
+Lines of fewer than ``LEAST_CHARS`` characters, outer white space apart, are only linked to lines equal to them: two
+edits make other words of them. Blank lines are never removed.
+
+Lines are told apart by a 64-bit hash; equal lines are one line in the search.
 
 Defined results: null and empty texts have no line; a null id comes before others; rows repeated in full count as one
 document, each having its row; an empty table gives an empty result; other columns are ignored.
 """
 
-from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroband.llm.components import connected_components
 from aeroband.llm.texts import col
+from aeroband.operators.joins import join_on_bucket
 from aeroband.session import written_once
 
 MOST_EDITS = 2
 LEAST_CHARS = 20
 CROWD = 100
+PROBES = 5_000
 MORE_SEGMENTS = 2
-SEEN = 100_000  # lines a task remembers, to list each only once; a forgotten line is merged after the exchange
 SPACE = " \t\n\x0b\x0c\r"
+ROW = "key long, line long, place int"  # a key of a line; its number if it is the line's own, null if it probes
 
 
 def segments(length: int, count: int) -> list[tuple[int, int]]:
@@ -68,38 +75,72 @@ def placements(chosen: tuple[int, ...], apart: int, edits: int) -> list[tuple[in
     return [done for done, last, spent in found if spent + abs(apart - last) <= edits]
 
 
+@cache
+def moves(edits: int, more: int, apart: int) -> list[tuple[tuple[int, ...], list[tuple[int, ...]]]]:
+    """The segments of each key, in order, and the shifts that they may have in a line ``apart`` characters longer."""
+    count = edits + 1 + more
+    return [
+        (chosen, placements(chosen, apart, edits) if more else [(d,) for d in shifts(chosen[0], count, apart)])
+        for chosen in combinations(range(count), 1 + more)
+    ]
+
+
 def _key(parts: list[str], length: int, number: int) -> int:
     value = xxhash.xxh3_64_intdigest("\n".join(parts).encode(), seed=length << 8 | number)
     return value - (1 << 64) if value >> 63 else value
 
 
-def index_keys(line: str, edits: int, more: int = 0) -> set[int]:
+def keys_of(line: str, edits: int, more: int) -> dict[int, int | None]:
+    """The keys of a line that are of several segments, with the number of those that are its own."""
+    found: dict[int, int | None] = {}
     n = len(line)
-    parts = segments(n, edits + 1 + more)
-    return {
-        _key([line[parts[i][0]:sum(parts[i])] for i in chosen], n, number)
-        for number, chosen in enumerate(combinations(range(len(parts)), 1 + more))
-    }
-
-
-def probe_keys(line: str, edits: int, more: int = 0) -> set[int]:
-    found, n = set(), len(line)
     for length in range(max(n - edits, 0), n + 1):
         parts = segments(length, edits + 1 + more)
-        for number, chosen in enumerate(combinations(range(len(parts)), 1 + more)):
-            moved = placements(chosen, n - length, edits) if more else [(d,) for d in shifts(chosen[0], len(parts), n - length)]
+        for number, (chosen, moved) in enumerate(moves(edits, more, n - length)):
             for places in moved:
                 starts = [parts[i][0] + d for i, d in zip(chosen, places)]
                 if starts[0] >= 0 and starts[-1] + parts[chosen[-1]][1] <= n:
-                    found.add(_key([line[a:a + parts[i][1]] for a, i in zip(starts, chosen)], length, number))
+                    own = length == n and not any(places)
+                    key = _key([line[a:a + parts[i][1]] for a, i in zip(starts, chosen)], length, number)
+                    found[key] = number if own else found.get(key)
     return found
 
 
+def single_keys(text: Column, edits: int) -> Column:
+    """The same of single segments, as an array of (``key``, ``place``) in which a probe may come twice."""
+    n, count, found = F.char_length(text), edits + 1, []
+    for apart in range(edits + 1):
+        length = n - apart
+        short, longer = F.floor(length / count).cast("int"), length % count
+        for number, (_, moved) in enumerate(moves(edits, 0, apart)):
+            start = short * number + F.greatest(longer - (count - number), F.lit(0))
+            size = short + (longer >= count - number).cast("int")
+            for (shift,) in moved:
+                key = F.xxhash64(F.substring(text, start + shift + 1, size), length, F.lit(number))
+                place = F.lit(number if apart == shift == 0 else None).cast("int")
+                fits = (start + shift >= 0) & (start + shift + size <= n)
+                found.append(F.when(fits, F.struct(key.alias("key"), place.alias("place"))))
+    return F.array_compact(F.array(*found))
+
+
+def first_shared(a: str, b: str, edits: int, more: int, without: int = 0) -> int | None:
+    """The number of the first key of ``a`` that the longer ``b`` probes, but for those whose bits ``without`` has."""
+    parts = segments(len(a), edits + 1 + more)
+    for number, (chosen, moved) in enumerate(moves(edits, more, len(b) - len(a))):
+        if not without >> number & 1:
+            own = [a[parts[i][0]:sum(parts[i])] for i in chosen]
+            if any(all(parts[i][0] + d >= 0 and b.startswith(x, parts[i][0] + d) for x, i, d in zip(own, chosen, places))
+                   for places in moved):
+                return number
+    return None
+
+
 def within(a: str, b: str, most: int) -> int:
     """The edit distance of two strings, or ``most`` + 1 if it is greater.
 
-    Bit p of row e says that e edits make the first p characters of ``a`` out of what was read of ``b``; only bits
-    within ``most`` of the diagonal are kept.
+    Bit j of row e says that e edits make the first i - ``most`` + j characters of ``a`` out of the first i of ``b``.
+    The bits move along the diagonal, so that a step costs the same however long the strings are; ``seen`` holds, for
+    each character, the bits of its places in the band and the step of which they are.
     """
     if abs(len(a) - len(b)) > most:
         return most + 1
@@ -109,130 +150,162 @@ def within(a: str, b: str, most: int) -> int:
     while min(end_a, end_b) > start and a[end_a - 1] == b[end_b - 1]:
         end_a, end_b = end_a - 1, end_b - 1
     a, b = a[start:end_a], b[start:end_b]
-    has: dict[str, int] = defaultdict(int)
-    for p, c in enumerate(a):
-        has[c] |= 1 << p
-    rows = [(1 << e + 1) - 1 for e in range(most + 1)]
-    for i, c in enumerate(b, 1):
-        band = ((1 << 2 * most + 1) - 1) << max(i - most, 0) if i > most else (1 << i + most + 1) - 1
-        fits, last_old, last_new = has.get(c, 0), 0, 0
+    seen: dict[str, tuple[int, int]] = {}
+    band = (1 << 2 * most + 1) - 1
+
+    def places(c, i):
+        bits, of = seen.get(c, (0, i))
+        return bits >> i - of
+
+    for p, c in enumerate(a[:most]):
+        seen[c] = places(c, 0) | 1 << p + most, 0
+    rows = [(1 << e + 1) - 1 << most for e in range(most + 1)]
+    for i, c in enumerate(b):
+        if i + most < len(a):
+            seen[a[i + most]] = places(a[i + most], i) | 1 << 2 * most, i
+        fits, last_old, last_new = places(c, i), 0, 0
         for e, row in enumerate(rows):
-            new = ((row & fits) << 1 | last_old | last_old << 1 | last_new << 1) & band
+            new = (row & fits | last_old | last_old >> 1 | last_new << 1) & band
             rows[e], last_old, last_new = new, row, new
         if not rows[-1]:
             return most + 1
-    return next((e for e, row in enumerate(rows) if row >> len(a) & 1), most + 1)
-
-
-def lines_of(text: str) -> Iterator[tuple[int, str]]:
-    """Number and content of the lines that are long enough, without outer white space."""
-    for number, line in enumerate(text.split("\n")):
-        line = line.strip(SPACE)
-        if len(line) >= LEAST_CHARS:
-            yield number, line
+    return next((e for e, row in enumerate(rows) if row >> len(a) - len(b) + most & 1), most + 1)
 
 
 def line_hash(line: str) -> int:
-    value = xxhash.xxh3_64_intdigest(line.encode())
+    """The number of a line, as Spark's ``xxhash64`` gives it."""
+    value = xxhash.xxh64_intdigest(line.encode(), 42)
     return value - (1 << 64) if value >> 63 else value
 
 
-def _distinct_lines(docs: DataFrame, of_line, schema: str, types: list[pa.DataType]) -> DataFrame:
-    """Rows that ``of_line`` makes of each line and its hash, once for most equal lines of a task."""
+def occurrences(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``doc``, ``number`` and ``text`` (without outer white space) of every line that is not blank."""
+    each = docs.select("doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("number", "text"))
+    return each.withColumn("text", F.btrim("text", F.lit(SPACE))).filter("text <> ''")
 
-    def run(batches):
-        seen: set[int] = set()
-        names = [field.split(" ")[0] for field in schema.split(", ")]
-        for batch in batches:
-            rows = []
-            for text in batch.column("text"):
-                for _, line in lines_of(text.as_py() or ""):
-                    known = line_hash(line)
-                    if known not in seen:
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(known)
-                        rows.extend(of_line(line, known))
-                if len(rows) > 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), types)], names=names)
-
-    return docs.select("text").mapInArrow(run, schema)
-
-
-def _keys(lines: DataFrame, make, edits: int, more: int) -> DataFrame:
-    """``key`` and ``line`` of every distinct line of a table with ``text``."""
-    return _distinct_lines(
-        lines, lambda line, known: [(key, known) for key in make(line, edits, more)], "key long, line long",
-        [pa.int64()] * 2,
-    ).distinct()
-
-
-def _met(probes: DataFrame, index: DataFrame) -> DataFrame:
-    """Pairs (``u`` < ``v``) of different lines with a key in common."""
-    pairs = probes.withColumnRenamed("line", "p").join(index.withColumnRenamed("line", "i"), "key").filter("p <> i")
-    return pairs.select(F.least("p", "i").alias("u"), F.greatest("p", "i").alias("v")).distinct()
 
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """``line`` and ``text`` of the different lines that are long enough for edits."""
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("text")).select(F.btrim("text", F.lit(SPACE)).alias("text"))
+    return lines.filter(F.char_length("text") >= LEAST_CHARS).distinct().select(F.xxhash64("text").alias("line"), "text")
 
-def linked_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -> DataFrame:
-    """``u``, ``v`` (hashes of different lines, ``u`` < ``v``) and ``edits``, their distance, of all lines within it.
 
-    ``docs`` has ``text``.
-    """
-    index, probes = _keys(docs, index_keys, edits, 0), _keys(docs, probe_keys, edits, 0)
-    sizes = index.groupBy("key").agg(F.count("*").alias("n"))
-    # Keys are mostly those of one line, which can only be met by a probe of another.
-    candidates = written_once(probes.join(index.join(sizes, "key").select("key", F.col("line").alias("i"), "n"), "key")
-                              .filter((F.col("line") != F.col("i")) & (F.col("n") <= crowd))
-                              .select(F.least("line", "i").alias("u"), F.greatest("line", "i").alias("v")).distinct())
-    texts = _distinct_lines(
-        docs, lambda line, known: [(known, line)], "line long, text string", [pa.int64(), pa.string()]
-    )
-    crowded = written_once(sizes.filter(F.col("n") > crowd).select("key"))
-    if crowded.limit(1).count():
-        members = index.join(crowded, "key").select("line").union(probes.join(crowded, "key").select("line")).distinct()
-        few = written_once(texts.join(members, "line", "left_semi").dropDuplicates(["line"]))
-        candidates = candidates.union(_met(
-            _keys(few, probe_keys, edits, MORE_SEGMENTS), _keys(few, index_keys, edits, MORE_SEGMENTS)
-        )).distinct()
-    wanted = candidates.select(F.col("u").alias("line")).union(candidates.select(F.col("v").alias("line"))).distinct()
-    known = written_once(texts.join(wanted, "line", "left_semi").dropDuplicates(["line"]))
-    sides = candidates.join(known.select(F.col("line").alias("u"), F.col("text").alias("a")), "u").join(
-        known.select(F.col("line").alias("v"), F.col("text").alias("b")), "v"
-    )
+def _met(keys: DataFrame) -> DataFrame:
+    """The keys that one line has and another has or probes, each line once, with ``n_own``, the lines that have it."""
+    of_key = Window.partitionBy("key")
+    counted = keys.withColumns({
+        "n_own": F.count("place").over(of_key), "least": F.min("line").over(of_key), "most": F.max("line").over(of_key),
+    })
+    return counted.filter("n_own > 0 and least <> most").groupBy("key", "line", "n_own").agg(F.max("place").alias("place"))
 
-    def verify(batches):
-        for batch in batches:
-            us, vs = batch.column("u").to_pylist(), batch.column("v").to_pylist()
-            apart = [within(a, b, edits) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())]
-            rows = [(u, v, d) for u, v, d in zip(us, vs, apart) if d <= edits]
-            columns = zip(*rows) if rows else [()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int32()])], names=["u", "v", "edits"]
-            )
 
-    return sides.select("u", "v", "a", "b").mapInArrow(verify, "u long, v long, edits int")
+def _compared(met: DataFrame, lines: DataFrame, edits: int, crowd: int, more: int, as_pairs: bool) -> DataFrame:
+    """Links of the lines that meet at the keys of ``met`` (with ``crowded``, the bits of a line's crowded keys)."""
+    sizes = met.groupBy("key").agg(F.ceil(F.count("place") / crowd).alias("blocks"), F.ceil(F.count("*") / PROBES).alias("parts"))
+    rows = met.join(sizes, "key").join(lines, "line")
 
+    def dealt(some, own, ours, theirs):
+        n, other = ("blocks", "parts") if own else ("parts", "blocks")
+        return some.withColumn(ours, F.pmod(F.xxhash64("line"), F.col(n))).withColumn(
+            theirs, F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        ).select("key", "block", "part", F.lit(own).alias("own"), "line", "place", "crowded", "text")
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``doc``, ``number`` and ``line`` of every line that is long enough."""
+    both = dealt(rows.filter("place is not null"), True, "block", "part").union(dealt(rows, False, "part", "block"))
+    tasks = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated: comparing costs more than the bytes tell
+    group = ["key", "block", "part"]
+    ordered = both.repartition(tasks, *group).sortWithinPartitions(*group, F.desc("own"))
+    names = ["u", "v", "edits"] if as_pairs else ["line", "links", "other"]
 
-    def run(batches):
+    def counts(a, b, place, crowded):
+        if more:
+            return first_shared(a, b, edits, 0, crowded) is None and first_shared(a, b, edits, more) == place
+        return first_shared(a, b, edits, 0, crowded) == place
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(out):
+            types = [pa.int64(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*out), types)], names=names)
+
+        def owners():
+            return [(line, n, owned[root[i]][0]) for i, (line, *_), n in zip(range(len(owned)), owned, met_by) if n]
+
+        at, owned, root, met_by, out = None, [], [], [], []
+        for batch in batches:
+            columns = {name: batch.column(name).to_pylist() for name in batch.schema.names}
+            for *key, own, line, place, crowded, text in zip(*columns.values()):
+                if key != at:
+                    if not as_pairs:
+                        out += owners()
+                    at, owned, root, met_by = key, [], [], []
+                if own:
+                    root.append(len(owned))
+                    owned.append((line, text, place, crowded))
+                    met_by.append(0)
+                    continue
+                linked = []
+                for i, (other, a, number, mask) in enumerate(owned):
+                    if len(a) < len(text) or len(a) == len(text) and other < line:
+                        apart = within(a, text, edits)
+                        if apart <= edits and counts(a, text, number, mask):
+                            linked.append(i)
+                            if as_pairs:
+                                out.append((min(other, line), max(other, line), apart))
+                if linked and not as_pairs:
+                    out.append((line, len(linked), owned[linked[0]][0]))
+                    joined = {root[i] for i in linked}
+                    for i in linked:
+                        met_by[i] += 1
+                    if len(joined) > 1:
+                        root = [min(joined) if r in joined else r for r in root]
+            if len(out) > 10_000:
+                yield batch_of(out)
+                out = []
+        if not as_pairs:
+            out += owners()
+        if out:
+            yield batch_of(out)
+
+    return ordered.mapInArrow(run, ", ".join(f"{name} long" for name in names))
+
+
+def _linked(docs: DataFrame, edits: int, crowd: int, as_pairs: bool) -> DataFrame:
+    lines = written_once(distinct_lines(docs))
+    single = lines.select("line", F.explode(single_keys(F.col("text"), edits)).alias("k")).select("k.key", "line", "k.place")
+    met = written_once(_met(single))
+    full = met.filter(F.col("n_own") > crowd)
+    none = F.lit(0).cast("long").alias("crowded")
+    few = met.filter(F.col("n_own") <= crowd)
+    if not full.limit(1).count():
+        return _compared(few.select("*", none), lines, edits, crowd, 0, as_pairs)
+    bits = F.when(F.col("place").isNotNull(), F.expr("shiftleft(1L, place)")).otherwise(F.lit(0).cast("long"))
+    members = written_once(full.groupBy("line").agg(F.bit_or(bits).alias("crowded")))
+
+    def marked(some):
+        return some.join(members, "line", "left").withColumn("crowded", F.coalesce("crowded", none))
+
+    def keys(batches):
         for batch in batches:
             rows = [
-                (doc_id, doc, number, line_hash(line))
-                for doc_id, doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("doc").to_pylist(), batch.column("text"))
-                for number, line in lines_of(text.as_py() or "")
+                (key, line, place) for line, text in zip(batch.column("line").to_pylist(), batch.column("text").to_pylist())
+                for key, place in keys_of(text, edits, MORE_SEGMENTS).items()
             ]
-            columns = zip(*rows) if rows else [()] * 4
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            types = [pa.int64(), pa.int64(), pa.int32()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(columns, types)], names=["doc_id", "doc", "number", "line"]
+                [pa.array(c, type=t) for c, t in zip(zip(*rows) if rows else [()] * 3, types)], names=["key", "line", "place"]
             )
 
-    return docs.select("doc_id", "doc", "text").mapInArrow(run, "doc_id long, doc long, number int, line long")
+    again = written_once(_met(lines.join(members, "line", "left_semi").select("line", "text").mapInArrow(keys, ROW)))
+    return _compared(marked(few), lines, edits, crowd, 0, as_pairs).union(
+        _compared(marked(again), lines, edits, crowd, MORE_SEGMENTS, as_pairs)
+    )
+
+
+def linked_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -> DataFrame:
+    """``u``, ``v`` (hashes of different lines, ``u`` < ``v``) and ``edits``, their distance, of all lines within it.
+
+    ``docs`` has ``text``.
+    """
+    return _linked(docs, edits, crowd, True)
 
 
 def marked_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -> DataFrame:
@@ -241,15 +314,16 @@ def marked_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -
         col("doc_id").cast("long").alias("doc_id"), F.xxhash64(col("doc_id"), col("text")).alias("doc"),
         col("text").alias("text"),
     )
-    links = written_once(linked_lines(rows, edits, crowd))
-    roots = connected_components(links).select(F.col("node").alias("line"), F.col("root").alias("class"))
-    ends = links.select(F.col("u").alias("line")).union(links.select(F.col("v").alias("line")))
-    degrees = ends.groupBy("line").agg(F.count("*").alias("links"))
-    found = written_once(occurrences(rows))
-    placed = found.join(roots.join(degrees, "line"), "line", "left").withColumn("class", F.coalesce("class", "line"))
+    links = written_once(_linked(rows, edits, crowd, False))
+    edges = links.select(F.col("line").alias("u"), F.col("other").alias("v"))
+    roots = connected_components(edges).select(F.col("node").alias("line"), F.col("root").alias("class"))
+    degrees = links.groupBy("line").agg(F.sum("links").alias("links"))
+    found = occurrences(rows).select("doc_id", "doc", "number", F.xxhash64("text").alias("line"))
+    classes = degrees.join(roots, "line", "left")  # the least line of a class has no root but itself
+    placed = written_once(join_on_bucket(found, classes, ["line"]).withColumn("class", F.coalesce("class", "line")))
     place = F.struct("doc_id", "doc", "number")
     first = placed.groupBy("class").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1")
-    each = placed.join(first, "class", "left").withColumn(
+    each = join_on_bucket(placed, first, ["class"]).withColumn(
         "removed", F.when(F.coalesce(place != F.col("first"), F.lit(False)), F.col("number"))
     )
     per_doc = each.groupBy("doc").agg(
@@ -266,7 +340,7 @@ def marked_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -
 
 
 def repeated_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -> DataFrame:
-    """A row per document: ``doc_id``, ``n_lines`` (long enough), ``n_removed``, ``removed`` (their numbers, from 0),
+    """A row per document: ``doc_id``, ``n_lines`` (not blank), ``n_removed``, ``removed`` (their numbers, from 0),
     and ``n_links``, the lines within the distance of its lines."""
     return marked_lines(docs, edits, crowd).drop("doc")
 
