@@ -106,9 +106,13 @@ def keys_of(line: str, edits: int, more: int) -> dict[int, int | None]:
     return found
 
 
-def single_keys(text: Column, edits: int) -> Column:
-    """The same of single segments, as an array of (``key``, ``place``) in which a probe may come twice."""
-    n, count, found = F.char_length(text), edits + 1, []
+def single_keys(text: Column, n: Column, edits: int) -> Column:
+    """The same of single segments of a text of ``n`` characters, as an array of (``key``, ``place``).
+
+    A probe may come twice, and one that runs over the end of a very short line is cut there: such lines meet in vain.
+    No function with a lambda takes part, as those are interpreted together with all that they are given.
+    """
+    count, found = edits + 1, []
     for apart in range(edits + 1):
         length = n - apart
         short, longer = F.floor(length / count).cast("int"), length % count
@@ -118,9 +122,8 @@ def single_keys(text: Column, edits: int) -> Column:
             for (shift,) in moved:
                 key = F.xxhash64(F.substring(text, start + shift + 1, size), length, F.lit(number))
                 place = F.lit(number if apart == shift == 0 else None).cast("int")
-                fits = (start + shift >= 0) & (start + shift + size <= n)
-                found.append(F.when(fits, F.struct(key.alias("key"), place.alias("place"))))
-    return F.array_compact(F.array(*found))
+                found.append(F.struct(key.alias("key"), place.alias("place")))
+    return F.array(*found)
 
 
 def first_shared(a: str, b: str, edits: int, more: int, without: int = 0) -> int | None:
@@ -270,7 +273,9 @@ def _compared(met: DataFrame, lines: DataFrame, edits: int, crowd: int, more: in
 
 def _linked(docs: DataFrame, edits: int, crowd: int, as_pairs: bool) -> DataFrame:
     lines = written_once(distinct_lines(docs))
-    single = lines.select("line", F.explode(single_keys(F.col("text"), edits)).alias("k")).select("k.key", "line", "k.place")
+    sized = lines.withColumn("n", F.char_length("text"))
+    keys_of_line = F.explode(single_keys(F.col("text"), F.col("n"), edits))
+    single = sized.select("line", keys_of_line.alias("k")).select("k.key", "line", "k.place")
     met = written_once(_met(single))
     full = met.filter(F.col("n_own") > crowd)
     none = F.lit(0).cast("long").alias("crowded")
@@ -318,7 +323,7 @@ def marked_lines(docs: DataFrame, edits: int = MOST_EDITS, crowd: int = CROWD) -
     edges = links.select(F.col("line").alias("u"), F.col("other").alias("v"))
     roots = connected_components(edges).select(F.col("node").alias("line"), F.col("root").alias("class"))
     degrees = links.groupBy("line").agg(F.sum("links").alias("links"))
-    found = occurrences(rows).select("doc_id", "doc", "number", F.xxhash64("text").alias("line"))
+    found = written_once(occurrences(rows).select("doc_id", "doc", "number", F.xxhash64("text").alias("line")))
     classes = degrees.join(roots, "line", "left")  # the least line of a class has no root but itself
     placed = written_once(join_on_bucket(found, classes, ["line"]).withColumn("class", F.coalesce("class", "line")))
     place = F.struct("doc_id", "doc", "number")
