@@ -31,7 +31,7 @@ from itertools import combinations
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroband.llm.components import connected_components
@@ -106,24 +106,28 @@ def keys_of(line: str, edits: int, more: int) -> dict[int, int | None]:
     return found
 
 
-def single_keys(text: Column, n: Column, edits: int) -> Column:
-    """The same of single segments of a text of ``n`` characters, as an array of (``key``, ``place``).
+def single_keys(lines: DataFrame, edits: int) -> DataFrame:
+    """The same of single segments: ``key``, ``line`` and ``place`` of a table of lines; a probe may come twice.
 
-    A probe may come twice, and one that runs over the end of a very short line is cut there: such lines meet in vain.
-    No function with a lambda takes part, as those are interpreted together with all that they are given.
+    Each line is first copied to a row for each of its keys, so that there is one expression for all of them: an array
+    of all keys makes a method too long for the JVM to compile. A probe that runs over the end of a very short line is
+    cut there; such lines meet in vain.
     """
-    count, found = edits + 1, []
-    for apart in range(edits + 1):
-        length = n - apart
-        short, longer = F.floor(length / count).cast("int"), length % count
-        for number, (_, moved) in enumerate(moves(edits, 0, apart)):
-            start = short * number + F.greatest(longer - (count - number), F.lit(0))
-            size = short + (longer >= count - number).cast("int")
-            for (shift,) in moved:
-                key = F.xxhash64(F.substring(text, start + shift + 1, size), length, F.lit(number))
-                place = F.lit(number if apart == shift == 0 else None).cast("int")
-                found.append(F.struct(key.alias("key"), place.alias("place")))
-    return F.array(*found)
+    asked = [
+        F.struct(F.lit(apart).alias("apart"), F.lit(number).alias("number"), F.lit(shift).alias("shift"))
+        for apart in range(edits + 1) for number, (_, moved) in enumerate(moves(edits, 0, apart)) for (shift,) in moved
+    ]
+    each = lines.select("line", "text", F.char_length("text").alias("n"), F.explode(F.array(*asked)).alias("k")).select(
+        "line", "text", (F.col("n") - F.col("k.apart")).alias("length"), "k.*"
+    )
+    count, number = edits + 1, F.col("number")
+    short, longer = F.expr(f"cast(length div {count} as int)"), F.col("length") % count
+    start = short * number + F.greatest(longer - (count - number), F.lit(0)) + F.col("shift")
+    size = short + (longer >= count - number).cast("int")
+    return each.select(
+        F.xxhash64(F.substring("text", start + 1, size), "length", "number").alias("key"), "line",
+        F.when((F.col("apart") == 0) & (F.col("shift") == 0), number).alias("place"),
+    )
 
 
 def first_shared(a: str, b: str, edits: int, more: int, without: int = 0) -> int | None:
@@ -138,6 +142,14 @@ def first_shared(a: str, b: str, edits: int, more: int, without: int = 0) -> int
     return None
 
 
+def common_prefix(a: str, b: str) -> int:
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return low
+
+
 def within(a: str, b: str, most: int) -> int:
     """The edit distance of two strings, or ``most`` + 1 if it is greater.
 
@@ -147,12 +159,10 @@ def within(a: str, b: str, most: int) -> int:
     """
     if abs(len(a) - len(b)) > most:
         return most + 1
-    start, end_a, end_b = 0, len(a), len(b)
-    while start < min(end_a, end_b) and a[start] == b[start]:
-        start += 1
-    while min(end_a, end_b) > start and a[end_a - 1] == b[end_b - 1]:
-        end_a, end_b = end_a - 1, end_b - 1
-    a, b = a[start:end_a], b[start:end_b]
+    start = common_prefix(a, b)
+    a, b = a[start:], b[start:]
+    end = common_prefix(a[::-1], b[::-1])
+    a, b = a[:len(a) - end], b[:len(b) - end]
     seen: dict[str, tuple[int, int]] = {}
     band = (1 << 2 * most + 1) - 1
 
@@ -273,10 +283,7 @@ def _compared(met: DataFrame, lines: DataFrame, edits: int, crowd: int, more: in
 
 def _linked(docs: DataFrame, edits: int, crowd: int, as_pairs: bool) -> DataFrame:
     lines = written_once(distinct_lines(docs))
-    sized = lines.withColumn("n", F.char_length("text"))
-    keys_of_line = F.explode(single_keys(F.col("text"), F.col("n"), edits))
-    single = sized.select("line", keys_of_line.alias("k")).select("k.key", "line", "k.place")
-    met = written_once(_met(single))
+    met = written_once(_met(single_keys(lines, edits)))
     full = met.filter(F.col("n_own") > crowd)
     none = F.lit(0).cast("long").alias("crowded")
     few = met.filter(F.col("n_own") <= crowd)
