@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from aeroband.llm.components import connected_components
 from aeroband.llm.texts import col
-from aeroband.operators.joins import join_on_bucket
+from aeroband.operators.joins import fits_broadcast, join_on_bucket
 from aeroband.session import written_once
 
 MOST_EDITS = 2
@@ -281,9 +281,16 @@ def _compared(met: DataFrame, lines: DataFrame, edits: int, crowd: int, more: in
     return ordered.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
+def _texts_of(met: DataFrame, lines: DataFrame) -> DataFrame:
+    """``lines`` without those that met none, before their texts are shuffled, if the numbers of the others are few."""
+    numbers = met.select("line").distinct()
+    return lines.join(F.broadcast(numbers), "line", "left_semi") if fits_broadcast(numbers) else lines
+
+
 def _linked(docs: DataFrame, edits: int, crowd: int, as_pairs: bool) -> DataFrame:
-    lines = written_once(distinct_lines(docs))
+    lines = written_once(distinct_lines(docs), compression="zstd")  # as large as the corpus
     met = written_once(_met(single_keys(lines, edits)))
+    lines = _texts_of(met, lines)
     full = met.filter(F.col("n_own") > crowd)
     none = F.lit(0).cast("long").alias("crowded")
     few = met.filter(F.col("n_own") <= crowd)

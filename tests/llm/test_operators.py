@@ -405,6 +405,27 @@ def test_text_without_repeated_lines(spark):
     found = line_dedup.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want))
 
+@pytest.mark.parametrize("few", [True, False])
+def test_few_lines_are_shuffled_and_all_are_stored_small(spark, monkeypatch, few):
+    written = []
+    once = line_dedup.written_once
+
+    def noted(df, **options):
+        written.append((df.columns, options))
+        return once(df, **options)
+
+    monkeypatch.setattr(line_dedup, "written_once", noted)
+    monkeypatch.setattr(line_dedup, "fits_broadcast", lambda numbers: few)
+    lines = ["a line that two documents have, nearly", "a line that two documents had, nearly"]
+    lines += [f"{word} stands in a line that no other is like" for word in ("Seven", "Tomorrow")]
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.doc_id: (r.n_removed, r.n_links) for r in line_dedup.repeated_lines(table).collect()}
+    assert found == {0: (0, 1), 1: (1, 1), 2: (0, 0), 3: (0, 0)}
+    assert (["line", "text"], {"compression": "zstd"}) in written
+    met = spark.createDataFrame([(1, line_dedup.line_hash(x)) for x in lines[:2] * 2], "key long, line long")
+    picked = line_dedup._texts_of(met, line_dedup.distinct_lines(table))
+    assert sorted(r.text for r in picked.collect()) == sorted(lines[:2] if few else lines)
+
 
 # Secrets
 
