@@ -18,6 +18,7 @@ set; other columns are ignored.
 import os
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -81,83 +82,120 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self._known: dict[str, bytes] = {}
+        # Whether plain letters reach the model as they are, and in one word.
+        self._direct = all(self._by_model(word) == self._encoded([word])[0].ids for word in (LETTERS, LETTERS[::-1]))
         self._forget()
 
     def _forget(self) -> None:
-        self._known.clear()
-        self._known[""] = b""
+        self._known: dict[str, int] = {"": 0}  # the places of words in the next two
+        self._sizes, self._ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype="<u4")
 
     def _encoded(self, texts: list[str]) -> list:
         return self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)  # without places in the text
 
+    def _by_model(self, word: str) -> list[int]:
+        return [token.id for token in self._model.tokenize(word)]
+
     def _learn(self, words: list[str]) -> None:
-        """Words of letters are encoded together, as each ends in an id that marks the end of a word; others, or all if
+        """Plain letters in lower case go to the tokenizer's model, which spares them its steps before. Other words of
+        letters are encoded together, as each ends in an id that marks the end of a word; the rest, or all if
         that does not hold, one by one."""
-        letters = [word for word in words if word.isalpha()]
+        plain, letters, others = [], [], []
+        for word in words:
+            if not word.isalpha():
+                others.append(word)
+            elif self._direct and word.isascii() and word.islower():
+                plain.append(word)
+            else:
+                letters.append(word)
+        found = list(map(self._by_model, plain))
+        learnt, ids = plain, [np.fromiter(chain.from_iterable(found), dtype="<u4")]
+        sizes = [np.fromiter(map(len, found), dtype=np.int64, count=len(found))]
         for at in range(0, len(letters), TOGETHER):
             some = letters[at:at + TOGETHER]
-            ids = np.array(self._encoded([" ".join(some)])[0].ids, dtype="<u4")
-            ends = (np.flatnonzero(self._ends[ids]) + 1).tolist()
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                data = ids.tobytes()
-                self._known.update(zip(some, (data[4 * a:4 * b] for a, b in zip([0, *ends[:-1]], ends))))
-        words = [word for word in words if word not in self._known]
-        for word, found in zip(words, self._encoded(words)):
-            self._known[word] = np.array(found.ids, dtype="<u4").tobytes()
+            joined = np.array(self._encoded([" ".join(some)])[0].ids, dtype="<u4")
+            ends = np.flatnonzero(self._ends[joined]) + 1
+            if len(ends) == len(some) and ends[-1] == len(joined):
+                learnt += some
+                ids.append(joined)
+                sizes.append(np.diff(ends, prepend=0))
+            else:
+                others += some
+        found = [one.ids for one in self._encoded(others)]
+        learnt += others
+        ids.append(np.fromiter(chain.from_iterable(found), dtype="<u4"))
+        sizes.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+        self._known.update(zip(learnt, range(len(self._known), len(self._known) + len(learnt))))
+        self._ids, self._sizes = np.concatenate([self._ids, *ids]), np.concatenate([self._sizes, *sizes])
 
     @staticmethod
-    def _parts(words: list[str]) -> tuple[list[str], list[str]]:
-        """What is looked up for words: letters in lower case, and the marks after them; or the word, and nothing."""
+    def _odd_parts(words: list[str]) -> tuple[list[str], list[str]]:
+        """The same of words that are not plain letters and marks."""
         bases, marks = [], []
         for word in words:
-            base, end = word, ""
-            if not word.isalpha():
-                base = word.rstrip(MARKS)
-                end = word[len(base):]
-                if not base.isalpha():
-                    bases.append(word)
-                    marks.append("")
-                    continue
+            base = word.rstrip(MARKS)
             # Lower case of the odd letters depends on context or is two characters. A letter that the tokenizer's normal
             # form takes apart ends in a sign, which is not a letter and stays with the marks.
-            if base.isascii() or (ODD_LETTERS.isdisjoint(base) and is_normalized("NFC", base)):
+            if base.isalpha() and ODD_LETTERS.isdisjoint(base) and is_normalized("NFC", base):
                 bases.append(base.lower())
-                marks.append(end)
+                marks.append(word[len(base):])
             else:
                 bases.append(word)
                 marks.append("")
         return bases, marks
 
+    @classmethod
+    def _parts(cls, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """What is looked up for words: letters in lower case, and the marks after them; or the word, and nothing."""
+        bases = pc.ascii_rtrim(words, MARKS)
+        plain = pc.ascii_is_alpha(bases)
+        odd = pc.invert(plain)
+        bases, marks = pc.ascii_lower(bases), pc.ascii_ltrim(words, LETTERS + LETTERS.upper())
+        found = cls._odd_parts(listed(words.filter(odd)))
+        return tuple(
+            pc.replace_with_mask(some, odd, pa.array(others, type=words.type)) for some, others in zip((bases, marks), found)
+        )
+
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
-        """The ids of each text (null: none). Words are told apart by Arrow; each different one is looked up once."""
+        """The ids of each text (null: none). Words are told apart by Arrow; each different part is looked up once."""
         split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = split.flatten().dictionary_encode()
-        words, known = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self._known
-        new = [word for word in words if word not in known]
-        if len(known) + 2 * len(new) > CACHED_WORDS:
+        bases, marks = self._parts(coded.dictionary)
+        parts = pa.concat_arrays([bases, marks]).dictionary_encode()
+        names = listed(parts.dictionary)
+        new = [name for name in names if name not in self._known]
+        if len(self._known) + len(new) > CACHED_WORDS:
             self._forget()
-            new = [word for word in words if word not in known]
-        bases, marks = self._parts(new)
-        self._learn(list(set(bases).union(marks).difference(known)))
-        known.update(zip(new, [known[base] + known[end] for base, end in zip(bases, marks)]))
-        found = list(map(known.__getitem__, words))
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
-        # The ids of all words in a row: those of a word begin where those of its entry do.
-        places, entries = coded.indices.to_numpy(), np.frombuffer(b"".join(found), dtype="<u4")
-        lengths = sizes[places]
-        ends = np.cumsum(lengths)
-        ids = entries[np.repeat((np.cumsum(sizes) - sizes)[places] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+            new = [name for name in names if name]
+        self._learn(new)
+        known = np.fromiter(map(self._known.__getitem__, names), dtype=np.int64, count=len(names))
+        pairs = known[parts.indices.to_numpy()].reshape(2, -1).T  # the base and the marks of each word
+        entries, _ = laid_out(self._ids, self._sizes, pairs.reshape(-1))
+        ids, ends = laid_out(entries, self._sizes[pairs].sum(axis=1), coded.indices.to_numpy())
         last_words = np.cumsum(pc.list_value_length(split).to_numpy()) - 1  # a text has one word at least, if an empty one
         return np.split(ids, ends[last_words][:-1])
 
 
+def listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
+def laid_out(values: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chosen ones of the runs of these sizes that ``values`` consists of, in a row, and where each of them ends."""
+    lengths = sizes[chosen]
+    ends = np.cumsum(lengths)
+    starts = (np.cumsum(sizes) - sizes)[chosen]
+    return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(lengths.sum())], ends
+
+
 WORD_END = "</w>"
 TOGETHER = 5000
 MARKS = ".,!?;:#*$%&"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
 TEXT_BYTES = 1 << 22  # texts are encoded in groups that end at the first one to reach this
 ODD_LETTERS = {"\u0130", "\u03a3"}
 

@@ -28,3 +28,22 @@ def test_every_letter_before_every_mark_is_that_of_the_tokenizer():
 ])
 def test_words_with_odd_letters(text):
     assert [ids.tolist() for ids in WordEncoder(PATH)(pa.array([text]))] == plain_ids([text])
+
+
+def test_only_parts_of_words_are_kept():
+    text = "Word word. WORD, word;; Été été! 12. (x) <|endoftext|>"
+    encode = WordEncoder(PATH)
+    assert [ids.tolist() for ids in encode(pa.array([text, None, text]))] == plain_ids([text, "", text])
+    assert sorted(encode._known) == sorted(["", "word", ".", ",", ";;", "été", "!", "12.", "(x)", "<|endoftext|>"])
+
+
+@pytest.mark.parametrize("direct", [True, False])
+def test_forgotten_words_are_learnt_again(monkeypatch, direct):
+    monkeypatch.setattr("aeroband.llm.token_files.CACHED_WORDS", 6)
+    texts = ["one two, three", "Four. five six seven eight nine", "one vier fünf! SECHS", "", "one two, three"]
+    encode = WordEncoder(PATH)
+    assert encode._direct
+    encode._direct = direct
+    found = [ids.tolist() for text in texts for ids in encode(pa.array([text]))]
+    assert found == plain_ids(texts)
+    assert len(encode._known) <= 9
