@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -261,6 +262,51 @@ def test_suffix_array():
             assert prefixes[b] == next((i for i, (x, y) in enumerate(pairs) if x != y), 0)
 
 
+def lines_run(function, *args):
+    """How many lines of Python a call runs, itself and below."""
+    count = 0
+
+    def trace(frame, event, arg):
+        nonlocal count
+        count += event == "line"
+        return trace
+
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        function(*args)
+    finally:
+        sys.settrace(before)
+    return count
+
+
+def test_suffix_array_of_long_repeats_and_many_names():
+    rng = np.random.default_rng(5)
+
+    def text(passage, largest):
+        part = rng.integers(1, largest, passage)
+        return np.concatenate([part, rng.integers(1, largest, passage // 2), part, part[:passage // 2], [0]])
+
+    for largest in (3, 250, 1024, 5000):
+        s = text(300, largest)
+        assert suffix_array.suffix_array(s).tolist() == sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    # Sixteen times the text is moved by about as many steps, not by one or more per suffix.
+    short, long = (lines_run(suffix_array.suffix_array, text(n, 30)) for n in (1000, 16000))
+    assert long < 2 * short
+
+
+def test_repeated_in_shard_of_pieces_that_end_alike():
+    rng = random.Random(8)
+    for _ in range(30):
+        bits = [bytes(rng.choices(b"ab", k=rng.randint(0, 6))) for _ in range(4)]
+        contents = sorted({rng.choice(bits) + bytes(rng.choices(b"abc", k=8)) + rng.choice(bits) for _ in range(6)})
+        seen = Counter(c[p:p + 8] for c in contents for p in range(len(c) - 7))
+        want = {(i, p) for i, c in enumerate(contents) for p in range(len(c) - 7) if seen[c[p:p + 8]] > 1}
+        found = list(suffix_dedup._repeated_in_shard(contents, [len(c) - 7 for c in contents], 8))
+        assert {(i, p) for i, first, last in found for p in range(first, last + 1)} == want
+        assert all((i, first - 1) not in want and (i, last + 1) not in want for i, first, last in found)
+
+
 def brute_removed(texts, length):
     seen = Counter(t[p:p + length] for t in texts for p in range(len(t) - length + 1))
     out = []
